@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headrace.functions.columns import field, text_schema
@@ -27,10 +27,18 @@ def encode(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.concat(F.lit(head), text, F.lit("}")).alias(VALUE))
 
 
-def _parsed(value: Column, columns: Sequence[str]) -> Column:
+def _opened(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """Each message as ``schema`` and ``payload``, both null where the text is not JSON.
+
+    ``inline`` keeps the parsed text: behind a plain projection, every later filter and column would
+    have the optimizer parse it again.
+    """
     payload = text_schema(columns).simpleString() if columns else "map<string,string>"
     shape = f"struct<schema:struct<fields:array<struct<field:string>>>,payload:{payload}>"
-    return F.from_json(value, shape)
+    return df.select(*keep, F.inline(F.array(F.from_json(VALUE, shape))))
+
+
+READABLE = "schema.fields IS NOT NULL AND payload IS NOT NULL"
 
 
 def declared_columns(df: DataFrame) -> list[str]:
@@ -44,17 +52,18 @@ def declared_columns(df: DataFrame) -> list[str]:
     return sorted(row["name"] for row in names.where("name IS NOT NULL").collect())
 
 
-def _readable(message: Column) -> Column:
-    return message["schema"]["fields"].isNotNull() & message["payload"].isNotNull()
-
+def decode(df: DataFrame, columns: Sequence[str], seen: Observation | None = None) -> DataFrame:
+    """The given payload columns of every readable message; an absent one is null.
 
-def decode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The given payload columns of every readable message; an absent one is null."""
-    message = df.select(_parsed(F.col(VALUE), columns).alias("message"))
-    rows = message.where(_readable(F.col("message")))
-    return rows.select(*(F.col("message.payload")[column].alias(column) for column in columns))
+    ``seen`` learns the number of ``rejected`` messages when the rows are computed.
+    """
+    opened = _opened(df, columns)
+    if seen is not None:
+        opened = opened.observe(seen, F.count_if(~F.expr(READABLE)).alias("rejected"))
+    payload = F.col("payload")
+    return opened.where(READABLE).select(*(payload[column].alias(column) for column in columns))
 
 
 def rejects(df: DataFrame) -> DataFrame:
     """Messages that are not an envelope, unchanged."""
-    return df.where(~F.coalesce(_readable(_parsed(F.col(VALUE), [])), F.lit(False)))
+    return _opened(df, [], VALUE).where(f"NOT ({READABLE})").select(VALUE)

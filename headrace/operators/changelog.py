@@ -16,53 +16,52 @@ CREATED, UPDATED, DELETED = "c", "u", "d"
 COPIES_PER_TASK = 1_000_000
 
 
-def _shared_columns(before: DataFrame, after: DataFrame) -> list[str]:
-    if set(before.columns) != set(after.columns):
-        raise ValueError("both snapshots must have the same columns")
-    return before.columns
-
-
 def _row(columns: Sequence[str]) -> Column:
     return F.struct(*(field(name) for name in columns))
 
 
+def _surplus(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Every distinct row that changed in number, with the difference: after minus before.
+
+    Equal rows are counted on the map side, so neither unchanged rows nor copies go further than one
+    shuffle of distinct rows.
+    """
+    if set(before.columns) != set(after.columns):
+        raise ValueError("both snapshots must have the same columns")
+    marked = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
+    return marked.groupBy(*map(field, before.columns)).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+
+
 def keyed_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``op, before, after`` for every key whose row differs between two snapshots.
 
-    Keys must be unique within a snapshot; a repeated one is an error. Both sides meet in one shuffle
-    by key, where repeats are counted and never paired with each other.
+    Only rows that differ are brought together by key. A key with more than one removed or one added
+    row cannot be told as a single change and is an error; ``row_changes`` needs no keys.
     """
-    columns = _shared_columns(before, after)
-    row, nothing = _row(columns), F.lit(None)
-    row_type = before.select(row.alias("row")).schema["row"].dataType
-    old = before.select(*map(field, keys), row.alias("before"), nothing.cast(row_type).alias("after"))
-    new = after.select(*map(field, keys), nothing.cast(row_type).alias("before"), row.alias("after"))
-    by_key = old.unionByName(new).groupBy(*map(field, keys)).agg(
-        F.first("before", ignorenulls=True).alias("before"),
-        F.first("after", ignorenulls=True).alias("after"),
-        F.greatest(F.count("before"), F.count("after")).alias("most"),
+    row, gone, came = _row(before.columns), F.col("_n") < 0, F.col("_n") > 0
+    by_key = _surplus(before, after).groupBy(*map(field, keys)).agg(
+        F.first(F.when(gone, row), ignorenulls=True).alias("before"),
+        F.first(F.when(came, row), ignorenulls=True).alias("after"),
+        F.max(F.abs("_n")).alias("copies"),
+        F.greatest(F.count_if(gone), F.count_if(came)).alias("rows"),
     )
-    repeated = F.col("most") > 1
-    # The check stands in the filter as well, so that a repeated key cannot slip through as unchanged.
-    changed = by_key.where(repeated | ~F.col("before").eqNullSafe(F.col("after")))
+    repeated = (F.col("copies") > 1) | (F.col("rows") > 1)
     op = (
-        F.when(repeated, F.raise_error(F.lit("a key occurs more than once in a snapshot")).cast("string"))
+        F.when(repeated, F.raise_error(F.lit("a changed key occurs more than once")).cast("string"))
         .when(F.col("before").isNull(), CREATED)
         .when(F.col("after").isNull(), DELETED)
         .otherwise(UPDATED)
     )
-    return changed.select(op.alias("op"), "before", "after")
+    return by_key.select(op.alias("op"), "before", "after")
 
 
 def row_changes(before: DataFrame, after: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:
     """``op, before, after`` without keys: one event per copy of a row that came or went.
 
-    Equal rows are counted on the map side, so only distinct rows travel. A row with very many
-    surplus copies is written out in shares by several tasks.
+    A row with very many surplus copies is written out in shares by several tasks.
     """
-    columns = _shared_columns(before, after)
-    marked = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
-    net = marked.groupBy(*map(field, columns)).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    columns = before.columns
+    net = _surplus(before, after)
     copies = F.abs("_n")
 
     few = net.where(copies <= copies_per_task).withColumn("_share", copies)

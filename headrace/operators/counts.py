@@ -27,7 +27,7 @@ def origin_counts(serving: DataFrame) -> DataFrame:
 def table_report(table: CommittedTable) -> DataFrame:
     """Rows, source files and version span, all from the commit records: no data is scanned."""
     last = table.latest()
-    visible = table.log().where(F.col(VERSION) >= (last["base"] if last else 0))
+    visible = table.log().where(F.col(VERSION) >= (last.base if last else 0))
     return visible.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
         F.coalesce(F.sum(F.size("files")), F.lit(0)).cast("bigint").alias("file_count"),

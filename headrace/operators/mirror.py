@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headrace.sources.files import by_halves, list_files, read_files
+from headrace.sources.files import by_halves, list_files, stored_schemas
 
 SOURCE_FILE = "source_file"
 OUTCOME = "path STRING, source_file STRING, status STRING"
@@ -22,28 +23,34 @@ def mirror_files(spark: SparkSession, paths: Sequence[str], destination: str) ->
     """Copy the rows of each file to ``destination/source_file=<name>``, replacing an older copy.
 
     Returns ``path, source_file, status, row_count`` with status ``ok``, ``missing`` or ``failed``.
-    Files are written together, each by as many tasks as it has splits; when a write fails, halving
-    finds the files at fault and the rest still goes through.
+    Files with the same schema are written together, a large file by as many tasks as it has splits.
+    When a write fails, halving finds the files at fault and the rest still goes through.
     """
     folders = sorted({_folder_and_name(path)[0] for path in paths})
     present = {row["path"] for folder in folders for row in list_files(spark, folder).collect()}
-    found = sorted(path for path in paths if path in present)
+    statuses = {path: "missing" for path in paths if path not in present}
+    alike: dict[str, list[str]] = defaultdict(list)
+    for path, schema in stored_schemas(spark, sorted(present.intersection(paths))).items():
+        if isinstance(schema, Exception):
+            statuses[path] = "failed"
+        else:
+            alike[schema.json()].append(path)
 
     def copy(group: list[str]) -> None:
-        rows = read_files(spark, group)
         (
-            rows.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+            spark.read.parquet(*group)
+            .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SOURCE_FILE)
             .parquet(destination)
         )
 
-    outcomes = [(path, _folder_and_name(path)[1], "missing") for path in paths if path not in present]
-    for group, error in by_halves(found, copy, may_split=lambda error: True):
-        status = "failed" if isinstance(error, Exception) else "ok"
-        outcomes += [(path, _folder_and_name(path)[1], status) for path in group]
+    for files in alike.values():
+        for group, error in by_halves(files, copy, may_split=lambda error: True):
+            statuses.update(dict.fromkeys(group, "failed" if isinstance(error, Exception) else "ok"))
 
+    outcomes = [(path, _folder_and_name(path)[1], status) for path, status in statuses.items()]
     report = spark.createDataFrame(outcomes, OUTCOME)
     copied = sorted(name for _, name, status in outcomes if status == "ok")
     if not copied:

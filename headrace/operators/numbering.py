@@ -22,59 +22,53 @@ BROADCAST_BYTES = 200 * 1024 * 1024
 ENTRY_BYTES = 64
 
 
+def _files(scan: DataFrame) -> DataFrame:
+    """Every file with its row count and group."""
+    counts = scan.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.withColumn("_group", F.pmod(F.xxhash64("_file"), F.lit(GROUPS)))
+
+
 def number_rows(
-    scans: Mapping[str, DataFrame],
-    work: str,
-    start: int = 1,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    scans: Mapping[str, DataFrame], start: int = 1, broadcast_bytes: int = BROADCAST_BYTES
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Add ``id`` to each scan, counting on from one scan to the next; also return their row counts.
 
     A scan must read whole Parquet files: columns may be chosen or renamed and whole directories
-    left out, but rows may not be filtered, or the ids would have gaps. ``work`` is a shared folder
-    for the counts.
+    left out, but rows may not be filtered, or the ids would have gaps.
     """
-    spark = next(iter(scans.values())).sparkSession
-    per_file = None
-    for place, scan in enumerate(scans.values()):
-        files = scan.groupBy(F.col("_metadata.file_path").alias("_file")).agg(
-            F.count(F.lit(1)).alias("_rows")
+    totals = None
+    for name, scan in scans.items():
+        part = _files(scan).groupBy("_group").agg(
+            F.sum("_rows").alias("rows"), F.sum(F.length("_file") + ENTRY_BYTES).alias("size")
         )
-        files = files.withColumn("_scan", F.lit(place))
-        per_file = files if per_file is None else per_file.unionByName(files)
-    grouped = per_file.withColumn("_group", F.pmod(F.xxhash64("_file"), F.lit(GROUPS)))
-    grouped.write.mode("overwrite").parquet(work)
-    grouped = spark.read.schema(grouped.schema).parquet(work)
-
+        part = part.select(F.lit(name).alias("scan"), "_group", "rows", "size")
+        totals = part if totals is None else totals.unionByName(part)
     # At most GROUPS rows per scan reach the driver, however many files there are.
-    totals = grouped.groupBy("_scan", "_group").agg(
-        F.sum("_rows").alias("rows"), F.sum(F.length("_file") + ENTRY_BYTES).alias("size")
-    )
-    starts, size, next_id = [], 0, start
-    counts = dict.fromkeys(scans, 0)
-    names = list(scans)
-    for row in sorted(totals.collect(), key=lambda row: (row["_scan"], row["_group"])):
-        starts.append((row["_scan"], row["_group"], next_id))
-        next_id += row["rows"]
-        size += row["size"]
-        counts[names[row["_scan"]]] += row["rows"]
+    found = {(row["scan"], row["_group"]): row for row in totals.collect()}
 
-    group_starts = spark.createDataFrame(starts, "_scan INT, _group LONG, _start LONG")
-    before = Window.partitionBy("_scan", "_group").orderBy("_file").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = grouped.join(F.broadcast(group_starts), ["_scan", "_group"]).select(
-        "_scan", "_file", (F.col("_start") + F.coalesce(F.sum("_rows").over(before), F.lit(0))).alias("_first")
-    )
-
-    numbered = {}
-    for place, (name, scan) in enumerate(scans.items()):
-        own = offsets.where(F.col("_scan") == place).drop("_scan")
+    numbered, counts, next_id = {}, {}, start
+    before = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    for name, scan in scans.items():
+        begin = {}
+        counts[name], size = 0, 0
+        for group in range(GROUPS):
+            if (row := found.get((name, group))) is not None:
+                begin[group] = next_id
+                next_id += row["rows"]
+                counts[name] += row["rows"]
+                size += row["size"]
+        if not begin:
+            numbered[name] = scan.select(F.lit(None).cast("bigint").alias(ID), "*")
+            continue
+        starts = F.create_map(*(F.lit(x) for item in begin.items() for x in item))
+        rows_before = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+        firsts = _files(scan).select("_file", (starts[F.col("_group")] + rows_before).alias("_first"))
         if size <= broadcast_bytes:
-            own = F.broadcast(own)
-        located = scan.select(
+            firsts = F.broadcast(firsts)
+        placed = scan.select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
         )
-        with_id = (F.col("_first") + F.col("_index")).alias(ID)
-        numbered[name] = located.join(own, "_file").select(with_id, *(field(c) for c in scan.columns))
+        numbered[name] = placed.join(firsts, "_file").select(
+            (F.col("_first") + F.col("_index")).alias(ID), *(field(c) for c in scan.columns)
+        )
     return numbered, counts

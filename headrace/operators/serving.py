@@ -35,6 +35,7 @@ from headrace.sources.committed import (
     NONE,
     RECORD_KEY,
     VERSION,
+    Commit,
     CommittedTable,
     read_records,
     utc_now,
@@ -108,14 +109,15 @@ class ServingTable:
             result = (SUCCESS, counts[BATCH], counts[STREAM], counts[BATCH] + counts[STREAM])
         except Exception as error:
             failed = f"FAILED: {error}"
-            logged = (utc_now(), None, None, None, None, failed)
-            write_record(self.spark, self.log_location, run, logged, MERGE_LOG)
+            self._log(run, None, None, None, None, failed)
             return self.spark.createDataFrame([(failed, 0, 0, 0, Decimal(0))], MERGE_RESULT)
         seconds = Decimal(f"{time.monotonic() - started:.2f}")
-        logged = (utc_now(), *result[1:], seconds, SUCCESS)
-        write_record(self.spark, self.log_location, run, logged, MERGE_LOG)
+        self._log(run, *result[1:], seconds, SUCCESS)
         return self.spark.createDataFrame([(*result, seconds)], MERGE_RESULT)
 
+    def _log(self, run: int, *values: object) -> None:
+        write_record(self.spark, self.log_location, run, MERGE_LOG, utc_now(), *values)
+
     def _write_snapshot(
         self, batch: DataFrame | CommittedTable, stream: DataFrame | CommittedTable
     ) -> dict[str, int]:
@@ -129,7 +131,7 @@ class ServingTable:
             origin: scan.select(*(field(name).cast("string").alias(name) for name in common))
             for origin, scan in scans.items()
         }
-        numbered, counts = number_rows(narrow, scratch(self.spark, "file-counts"))
+        numbered, counts = number_rows(narrow)
         # One directory per origin, written apart: no sort, and a filter on origin reads one of them.
         # Columns of one side only are null for every row; the schema supplies them without storage.
         self.snapshots.commit(
@@ -142,9 +144,9 @@ class ServingTable:
 
     def _stored(self, rows: DataFrame | CommittedTable, through: int | None = None) -> DataFrame:
         if not isinstance(rows, CommittedTable):
-            staged = CommittedTable(self.spark, scratch(self.spark, "staged"))
-            staged.commit(normalise(rows))
-            return staged.read()
+            staged, place = normalise(rows), scratch(self.spark, "staged")
+            staged.write.parquet(place)
+            return self.spark.read.schema(staged.schema).parquet(place)
         return lowercase_columns(rows.read(through))
 
     @staticmethod
@@ -163,43 +165,35 @@ class ServingTable:
         if snapshot is None:
             raise ValueError("create or merge the serving table first")
         rows = lowercase_columns(stream.scan(version, version).drop(VERSION, COMMITTED_AT))
-        common = common_columns(json.loads(snapshot["details"]["batch_columns"]), rows.columns)
-        numbered, _ = number_rows({STREAM: rows.select(*map(field, common))}, scratch(self.spark, "file-counts"))
+        common = common_columns(json.loads(snapshot.details["batch_columns"]), rows.columns)
+        numbered, _ = number_rows({STREAM: rows.select(*map(field, common))})
         schema = T.StructType(
             [T.StructField(ID, T.LongType()), *text_schema(common), T.StructField(ORIGIN, T.StringType())]
         )
         self.live.commit({f"{ORIGIN}={STREAM}": numbered[STREAM]}, version, schema=schema)
-        return self.rows_of(version)
+        starts = self._live_starts(snapshot)
+        return self._live_rows({v: n for v, n in starts.items() if v == version}, snapshot.schema)
 
     # -- reading ---------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """The current serving rows: newest snapshot plus the live commits beyond it."""
-        base = self.snapshots.read()
-        starts = self._live_starts()
-        if not starts:
-            return base
-        return base.unionByName(self._live_rows(starts))
-
-    def rows_of(self, version: int) -> DataFrame:
-        """The live rows of one stream commit."""
-        return self._live_rows({v: start for v, start in self._live_starts().items() if v == version})
+        snapshot = self.snapshots.latest()
+        rows = self.snapshots.read(snapshot.version if snapshot else None)
+        starts = self._live_starts(snapshot) if snapshot else {}
+        return rows.unionByName(self._live_rows(starts, snapshot.schema)) if starts else rows
 
-    def _live_starts(self) -> dict[int, int]:
+    def _live_starts(self, snapshot: Commit) -> dict[int, int]:
         """Live commits beyond the snapshot, each with the number of rows before it."""
-        snapshot = self.snapshots.latest()
-        if snapshot is None:
-            return {}
-        through = int(snapshot["details"]["stream_through"])
+        through = int(snapshot.details["stream_through"])
         commits = self.live.log().where(F.col(VERSION) > through).select(VERSION, "row_count")
-        starts, before = {}, snapshot["row_count"]
+        starts, before = {}, snapshot.row_count
         for row in sorted(commits.collect(), key=lambda row: row[VERSION]):
             starts[row[VERSION]] = before
             before += row["row_count"]
         return starts
 
-    def _live_rows(self, starts: dict[int, int]) -> DataFrame:
-        schema = self.snapshots.schema()
+    def _live_rows(self, starts: dict[int, int], schema: T.StructType) -> DataFrame:
         if not starts:
             return self.spark.createDataFrame([], schema)
         # One entry per micro-batch since the last merge.

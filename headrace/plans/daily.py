@@ -26,7 +26,7 @@ def mirror_pending(
     pending = files.join(done, "path", "left_anti") if done is not None else files
     paths = [row["path"] for row in pending.distinct().collect()]
     if paths:
-        version = mirrored.commit(mirror_files(spark, paths, destination))
+        version = mirrored.commit(mirror_files(spark, paths, destination)).version
     else:
         version = mirrored.last_version() + 1
     return mirrored.scan(version, version)

@@ -46,5 +46,5 @@ def ingest(
     version = before
     for start in range(0, len(found), files_per_commit):
         chunk = found[start : start + files_per_commit]
-        version = lake.commit(read_as_text(spark, chunk), version + 1, files=chunk)
+        version = lake.commit(read_as_text(spark, chunk), version + 1, files=chunk).version
     return Ingested(before, version, found)

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headrace.functions.columns import aligned, widened
+from headrace.functions.columns import widened
 
 VERSION = "commit_version"
 COMMITTED_AT = "_commit_timestamp"
@@ -42,10 +44,16 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def write_record(spark: SparkSession, location: str, key: int, row: tuple, schema: T.StructType) -> None:
+def _literal(value: Any, kind: T.DataType) -> Column:
+    if isinstance(value, Mapping):
+        return F.create_map(*(F.lit(x) for item in value.items() for x in item)).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def write_record(spark: SparkSession, location: str, key: int, schema: T.StructType, *values: Any) -> None:
     """Write or replace the one-row record of this key."""
-    record = spark.createDataFrame([row], schema).coalesce(1)
-    record.write.mode("overwrite").parquet(f"{location}/{RECORD_KEY}={key}")
+    columns = (_literal(value, f.dataType).alias(f.name) for value, f in zip(values, schema, strict=True))
+    spark.range(1).coalesce(1).select(*columns).write.mode("overwrite").parquet(f"{location}/{RECORD_KEY}={key}")
 
 
 def read_records(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
@@ -59,6 +67,22 @@ def read_records(spark: SparkSession, location: str, schema: T.StructType) -> Da
         return spark.createDataFrame([], full)
 
 
+@dataclass(frozen=True)
+class Commit:
+    """What is recorded of one commit. ``base`` is the first version still part of the table."""
+
+    version: int
+    base: int
+    row_count: int
+    schema: T.StructType
+    details: dict[str, str]
+
+    @classmethod
+    def of(cls, row: Row) -> Commit:
+        schema = T.StructType.fromJson(json.loads(row["schema"]))
+        return cls(row[VERSION], row["base"], row["row_count"], schema, row["details"] or {})
+
+
 class CommittedTable:
     """Versioned table: append with schema growth, replace, read, read what changed."""
 
@@ -74,22 +98,25 @@ class CommittedTable:
         """One row per commit."""
         return read_records(self.spark, self.records, RECORD).withColumnRenamed(RECORD_KEY, VERSION)
 
-    def latest(self, version: int | None = None) -> Row | None:
-        """The newest commit, or the newest one up to a version; its file list is left out."""
-        log = self.log().drop("files")
-        if version is not None:
-            log = log.where(F.col(VERSION) <= version)
-        found = log.orderBy(F.desc(VERSION)).limit(1).collect()
-        return found[0] if found else None
+    def _newest_rows(self, upto: int | None, n: int) -> list[Row]:
+        log = self.log().select(VERSION, "base", "row_count", "schema", "details")
+        if upto is not None:
+            log = log.where(F.col(VERSION) <= upto)
+        return log.orderBy(F.desc(VERSION)).limit(n).collect()
+
+    def latest(self, version: int | None = None) -> Commit | None:
+        """The newest commit, or the newest one up to a version."""
+        found = self._newest_rows(version, 1)
+        return Commit.of(found[0]) if found else None
 
     def last_version(self) -> int:
         """The newest committed version, -1 for a table that does not exist yet."""
         found = self.latest()
-        return found[VERSION] if found else NONE
+        return found.version if found else NONE
 
     def schema(self) -> T.StructType:
         found = self.latest()
-        return _schema(found) if found else T.StructType()
+        return found.schema if found else T.StructType()
 
     def columns(self) -> list[str]:
         return self.schema().names
@@ -109,8 +136,8 @@ class CommittedTable:
         schema: T.StructType | None = None,
         files: Iterable[str] = (),
         details: Mapping[str, str] | None = None,
-    ) -> int:
-        """Store rows as one commit and return its version.
+    ) -> Commit:
+        """Store rows as one commit.
 
         The version defaults to the next one; a caller that may retry passes its own, such as a
         micro-batch id. ``replace`` makes this commit the table's only content. Several frames may be
@@ -119,50 +146,47 @@ class CommittedTable:
         """
         last = self.latest()
         if version is None:
-            version = last[VERSION] + 1 if last else 0
-        if last and last[VERSION] >= version:
-            # A retry of an older or the newest commit: judge it by what came before it.
+            version = last.version + 1 if last else 0
+        elif last and last.version >= version:
+            # A retry is judged by what came before it.
             last = self.latest(version - 1)
         parts = df if isinstance(df, Mapping) else {"": df}
         stored = schema or next(iter(parts.values())).schema
-        known = _schema(last) if last and not replace else T.StructType()
+        known = last.schema if last and not replace else T.StructType()
         table_schema = widened(known, stored)
 
         target = f"{self.data}/{VERSION}={version}"
         at = utc_now()
         for directory, frame in parts.items():
             path = f"{target}/{directory}" if directory else target
-            stamped = frame.withColumn(COMMITTED_AT, F.lit(at))
-            stamped.write.mode("overwrite").parquet(path)
+            frame.withColumn(COMMITTED_AT, F.lit(at)).write.mode("overwrite").parquet(path)
         # Counted from what was written: file footers only, and right whatever tasks were retried.
         rows = self.spark.read.schema(f"{COMMITTED_AT} TIMESTAMP").parquet(target).count()
 
-        base = version if replace or not last else last["base"]
-        record = (base, at, rows, table_schema.json(), dict(details or {}), list(files))
-        write_record(self.spark, self.records, version, record, RECORD)
-        return version
+        base = version if replace or not last else last.base
+        details = dict(details or {})
+        write_record(
+            self.spark, self.records, version, RECORD, base, at, rows, table_schema.json(), details, list(files)
+        )
+        return Commit(version, base, rows, table_schema, details)
 
     # -- reading ---------------------------------------------------------------------------------
 
     def scan(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """Rows of the commits first..last, both included, with their version and commit time."""
-        newest = self.latest(last)
-        if newest is None:
+        rows = self._newest_rows(last, LISTED_VERSIONS + 1)
+        if not rows:
             return self.spark.createDataFrame([], _stored(T.StructType()))
-        schema = _stored(_schema(newest))
-        low = max(first or 0, newest["base"])
-        inside = F.col(VERSION).between(low, newest[VERSION])
+        newest = Commit.of(rows[0])
+        schema = _stored(newest.schema)
+        low = max(first or 0, newest.base)
         reader = self.spark.read.schema(schema).option("basePath", self.data)
-        if first is None and last is None and newest["base"] == 0:
-            return reader.parquet(self.data).where(inside)
-        # Naming the directories spares listing those of all other versions.
-        wanted = self.log().where(inside).select(VERSION).limit(LISTED_VERSIONS + 1)
-        versions = sorted(row[VERSION] for row in wanted.collect())
-        if not versions:
+        if low > newest.version:
             return self.spark.createDataFrame([], schema)
-        if len(versions) > LISTED_VERSIONS:
-            return reader.parquet(self.data).where(inside)
-        return reader.parquet(*(f"{self.data}/{VERSION}={v}" for v in versions))
+        if len(rows) > LISTED_VERSIONS and low <= rows[-1][VERSION]:
+            return reader.parquet(self.data).where(F.col(VERSION).between(low, newest.version))
+        # Naming the directories spares listing those of all other versions.
+        return reader.parquet(*(f"{self.data}/{VERSION}={r[VERSION]}" for r in rows if r[VERSION] >= low))
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of its newest commit, or as of an older one."""
@@ -183,18 +207,11 @@ class CommittedTable:
 
     def append(self, df: DataFrame, through: int) -> int:
         """Store rows exported up to a version; repeating the export replaces them."""
-        self.commit(df, through)
-        return self.latest(through)["row_count"]
+        return self.commit(df, through).row_count
 
     def overwrite(self, df: DataFrame) -> int:
         """Replace the whole content in one switch; readers see the old or the new table."""
-        return self.latest(self.commit(df, replace=True))["row_count"]
-
-
-def _schema(commit: Row) -> T.StructType:
-    import json
-
-    return T.StructType.fromJson(json.loads(commit["schema"]))
+        return self.commit(df, replace=True).row_count
 
 
 def _stored(schema: T.StructType) -> T.StructType:

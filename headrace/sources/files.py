@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from headrace.functions.columns import normalise
 
@@ -57,6 +59,20 @@ def schemas_differ(error: Exception) -> bool:
     return "CANNOT_MERGE_SCHEMAS" in str(error)
 
 
+def stored_schemas(
+    spark: SparkSession, paths: Sequence[str], at_once: int = 16
+) -> dict[str, T.StructType | Exception]:
+    """Each file's own schema, or the error its footer gave. Several footers are read at a time."""
+    def schema_of(path: str) -> T.StructType | Exception:
+        try:
+            return spark.read.parquet(path).schema
+        except Exception as error:
+            return error
+
+    with ThreadPoolExecutor(at_once) as threads:
+        return dict(zip(paths, threads.map(schema_of, paths)))
+
+
 def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Files of one common schema, each column with the type it was stored with."""
     return spark.read.option("mergeSchema", "true").parquet(*paths)

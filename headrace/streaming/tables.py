@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql.streaming import DataStreamWriter
 
 from headrace.functions import envelope
@@ -38,11 +38,11 @@ class StreamToTable:
         self.also = also
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        columns = envelope.declared_columns(messages)
-        lowered(columns)
-        rows = envelope.decode(messages, columns or self.table.columns())
+        columns = envelope.declared_columns(messages) or self.table.columns()
+        seen = Observation()
+        rows = envelope.decode(messages, columns, seen).toDF(*lowered(columns))
         self.table.commit(rows, batch_id)
-        if self.rejects is not None:
+        if self.rejects is not None and seen.get["rejected"]:
             self.rejects.commit(envelope.rejects(messages), batch_id)
         if self.serving is not None:
             added = self.serving.append_stream(self.table, batch_id)
