@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headrace.functions.columns import field, text_schema
@@ -41,27 +41,22 @@ def _opened(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
 READABLE = "schema.fields IS NOT NULL AND payload IS NOT NULL"
 
 
-def declared_columns(df: DataFrame) -> list[str]:
-    """Sorted names the messages' own schemas declare.
+def survey(df: DataFrame) -> tuple[list[str], bool]:
+    """The column names the messages' own schemas declare, sorted, and whether all are readable.
 
-    Distinct schema texts are reduced on the executors first, so only names reach the driver.
+    One pass; names are made distinct on the executors, so only names reach the driver.
     """
-    schemas = df.select(F.get_json_object(VALUE, "$.schema").alias("schema")).distinct()
-    parsed = F.from_json("schema", "struct<fields:array<struct<field:string>>>")
-    names = schemas.select(F.explode(parsed["fields"]["field"]).alias("name")).distinct()
-    return sorted(row["name"] for row in names.where("name IS NOT NULL").collect())
+    names = F.when(F.expr(READABLE), F.col("schema.fields.field"))
+    found = _opened(df, []).select(F.explode_outer(names).alias("name")).distinct().collect()
+    declared = {row["name"] for row in found}
+    return sorted(declared - {None}), None not in declared
 
 
-def decode(df: DataFrame, columns: Sequence[str], seen: Observation | None = None) -> DataFrame:
-    """The given payload columns of every readable message; an absent one is null.
-
-    ``seen`` learns the number of ``rejected`` messages when the rows are computed.
-    """
-    opened = _opened(df, columns)
-    if seen is not None:
-        opened = opened.observe(seen, F.count_if(~F.expr(READABLE)).alias("rejected"))
+def decode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The given payload columns of every readable message; an absent one is null."""
     payload = F.col("payload")
-    return opened.where(READABLE).select(*(payload[column].alias(column) for column in columns))
+    rows = _opened(df, columns).where(READABLE)
+    return rows.select(*(payload[column].alias(column) for column in columns))
 
 
 def rejects(df: DataFrame) -> DataFrame:

@@ -31,7 +31,6 @@ from headrace.functions.columns import (
 from headrace.operators.numbering import number_rows
 from headrace.session import scratch
 from headrace.sources.committed import (
-    COMMITTED_AT,
     NONE,
     RECORD_KEY,
     VERSION,
@@ -156,7 +155,7 @@ class ServingTable:
             "stream_through": str(stream_through),
         }
 
-    def append_stream(self, stream: CommittedTable, version: int) -> DataFrame:
+    def append_stream(self, stream: CommittedTable, commit: Commit) -> DataFrame:
         """Copy one commit of the stream table to serving; repeating it replaces the copy.
 
         Returns the appended rows as readers see them. Ids continue after all rows before them.
@@ -164,24 +163,33 @@ class ServingTable:
         snapshot = self.snapshots.latest()
         if snapshot is None:
             raise ValueError("create or merge the serving table first")
-        rows = lowercase_columns(stream.scan(version, version).drop(VERSION, COMMITTED_AT))
+        rows = lowercase_columns(stream.only(commit))
         common = common_columns(json.loads(snapshot.details["batch_columns"]), rows.columns)
         numbered, _ = number_rows({STREAM: rows.select(*map(field, common))})
         schema = T.StructType(
             [T.StructField(ID, T.LongType()), *text_schema(common), T.StructField(ORIGIN, T.StringType())]
         )
-        self.live.commit({f"{ORIGIN}={STREAM}": numbered[STREAM]}, version, schema=schema)
-        starts = self._live_starts(snapshot)
-        return self._live_rows({v: n for v, n in starts.items() if v == version}, snapshot.schema)
+        added = self.live.commit({f"{ORIGIN}={STREAM}": numbered[STREAM]}, commit.version, schema=schema)
+        # A commit the snapshot already reaches adds nothing.
+        before = self._live_starts(snapshot).get(added.version)
+        if before is None:
+            return self.spark.createDataFrame([], snapshot.schema)
+        return aligned(self.live.only(added).withColumn(ID, F.col(ID) + before), snapshot.schema)
 
     # -- reading ---------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """The current serving rows: newest snapshot plus the live commits beyond it."""
         snapshot = self.snapshots.latest()
-        rows = self.snapshots.read(snapshot.version if snapshot else None)
-        starts = self._live_starts(snapshot) if snapshot else {}
-        return rows.unionByName(self._live_rows(starts, snapshot.schema)) if starts else rows
+        if snapshot is None:
+            return self.snapshots.read()
+        rows, starts = self.snapshots.only(snapshot), self._live_starts(snapshot)
+        if not starts:
+            return rows
+        # One entry per micro-batch since the last merge.
+        begin = self.spark.createDataFrame(list(starts.items()), f"{VERSION} LONG, _before LONG")
+        live = self.live.scan(min(starts), max(starts)).join(F.broadcast(begin), VERSION)
+        return rows.unionByName(aligned(live.withColumn(ID, F.col(ID) + F.col("_before")), snapshot.schema))
 
     def _live_starts(self, snapshot: Commit) -> dict[int, int]:
         """Live commits beyond the snapshot, each with the number of rows before it."""
@@ -193,14 +201,6 @@ class ServingTable:
             before += row["row_count"]
         return starts
 
-    def _live_rows(self, starts: dict[int, int], schema: T.StructType) -> DataFrame:
-        if not starts:
-            return self.spark.createDataFrame([], schema)
-        # One entry per micro-batch since the last merge.
-        begin = self.spark.createDataFrame(list(starts.items()), f"{VERSION} LONG, _before LONG")
-        rows = self.live.scan(min(starts), max(starts)).join(F.broadcast(begin), VERSION)
-        return aligned(rows.withColumn(ID, F.col(ID) + F.col("_before")), schema)
-
     def merge_log(self) -> DataFrame:
         return read_records(self.spark, self.log_location, MERGE_LOG).select(
             F.col(RECORD_KEY).alias(ID), *MERGE_LOG.names

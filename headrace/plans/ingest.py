@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from headrace.sources.committed import CommittedTable
+from headrace.sources.committed import NONE, CommittedTable
 from headrace.sources.files import list_files, not_processed, read_as_text
 
 FILES_PER_COMMIT = 1000
@@ -41,10 +41,10 @@ def ingest(
     Rows and the list of files they came from are committed together. A run that breaks off leaves
     every file either committed or still new.
     """
-    before = lake.last_version()
+    last = lake.latest()
+    before = last.version if last else NONE
     found = new_files(spark, location, lake, pattern)
-    version = before
     for start in range(0, len(found), files_per_commit):
         chunk = found[start : start + files_per_commit]
-        version = lake.commit(read_as_text(spark, chunk), version + 1, files=chunk).version
-    return Ingested(before, version, found)
+        last = lake.commit(read_as_text(spark, chunk), files=chunk, after=last)
+    return Ingested(before, last.version if last else NONE, found)

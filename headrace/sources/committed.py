@@ -136,15 +136,16 @@ class CommittedTable:
         schema: T.StructType | None = None,
         files: Iterable[str] = (),
         details: Mapping[str, str] | None = None,
+        after: Commit | None = None,
     ) -> Commit:
         """Store rows as one commit.
 
         The version defaults to the next one; a caller that may retry passes its own, such as a
-        micro-batch id. ``replace`` makes this commit the table's only content. Several frames may be
+        micro-batch id. ``after`` spares looking up the newest commit where the caller knows it. ``replace`` makes this commit the table's only content. Several frames may be
         given by partition directory (``{"data_source=batch": df}``); then the declared ``schema``
         names the partition column as well.
         """
-        last = self.latest()
+        last = after or self.latest()
         if version is None:
             version = last.version + 1 if last else 0
         elif last and last.version >= version:
@@ -188,6 +189,11 @@ class CommittedTable:
         # Naming the directories spares listing those of all other versions.
         return reader.parquet(*(f"{self.data}/{VERSION}={r[VERSION]}" for r in rows if r[VERSION] >= low))
 
+    def only(self, commit: Commit) -> DataFrame:
+        """The rows of one commit, in the table's columns as of it."""
+        reader = self.spark.read.schema(commit.schema).option("basePath", f"{self.data}/{VERSION}={commit.version}")
+        return reader.parquet(f"{self.data}/{VERSION}={commit.version}")
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of its newest commit, or as of an older one."""
         return self.scan(last=version).drop(VERSION, COMMITTED_AT)

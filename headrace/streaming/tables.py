@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from headrace.functions import envelope
@@ -38,18 +38,18 @@ class StreamToTable:
         self.also = also
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        columns = envelope.declared_columns(messages) or self.table.columns()
-        seen = Observation()
-        rows = envelope.decode(messages, columns, seen).toDF(*lowered(columns))
-        self.table.commit(rows, batch_id)
-        if self.rejects is not None and seen.get["rejected"]:
+        declared, all_readable = envelope.survey(messages)
+        columns = declared or self.table.columns()
+        rows = envelope.decode(messages, columns).toDF(*lowered(columns))
+        stored = self.table.commit(rows, batch_id)
+        if self.rejects is not None and not all_readable:
             self.rejects.commit(envelope.rejects(messages), batch_id)
         if self.serving is not None:
-            added = self.serving.append_stream(self.table, batch_id)
+            added = self.serving.append_stream(self.table, stored)
             if self.changelog is not None:
                 self.changelog.commit(as_messages(created(added)), batch_id)
         if self.also is not None:
-            self.also(self.table.scan(batch_id, batch_id), batch_id)
+            self.also(self.table.only(stored), batch_id)
 
 
 def table_sink(messages: DataFrame, step: StreamToTable) -> DataStreamWriter:
