@@ -40,6 +40,7 @@ from headrace.sources.committed import (
     utc_now,
     write_record,
 )
+from headrace.sources.literals import no_rows, one_row
 
 BATCH, STREAM = "batch", "stream"
 SUCCESS = "SUCCESS"
@@ -54,7 +55,12 @@ MERGE_LOG = (
     .add("status", T.StringType())
 )
 MERGE_RESULT = (
-    "status STRING, batch_rows LONG, stream_rows LONG, total_rows LONG, exec_time DECIMAL(10,2)"
+    T.StructType()
+    .add("status", T.StringType())
+    .add("batch_rows", T.LongType())
+    .add("stream_rows", T.LongType())
+    .add("total_rows", T.LongType())
+    .add("exec_time", T.DecimalType(10, 2))
 )
 
 
@@ -90,7 +96,7 @@ class ServingTable:
     def create(self, batch_columns: Sequence[str], stream_columns: Sequence[str]) -> None:
         """An empty serving table for two inputs with these columns."""
         schema = serving_schema(batch_columns, stream_columns)
-        empty = self.spark.createDataFrame([], schema)
+        empty = no_rows(self.spark, schema)
         self.snapshots.commit(
             empty, replace=True, details=self._details(batch_columns, stream_through=NONE)
         )
@@ -109,10 +115,10 @@ class ServingTable:
         except Exception as error:
             failed = f"FAILED: {error}"
             self._log(run, None, None, None, None, failed)
-            return self.spark.createDataFrame([(failed, 0, 0, 0, Decimal(0))], MERGE_RESULT)
+            return one_row(self.spark, MERGE_RESULT, failed, 0, 0, 0, Decimal(0))
         seconds = Decimal(f"{time.monotonic() - started:.2f}")
         self._log(run, *result[1:], seconds, SUCCESS)
-        return self.spark.createDataFrame([(*result, seconds)], MERGE_RESULT)
+        return one_row(self.spark, MERGE_RESULT, *result, seconds)
 
     def _log(self, run: int, *values: object) -> None:
         write_record(self.spark, self.log_location, run, MERGE_LOG, utc_now(), *values)
@@ -173,7 +179,7 @@ class ServingTable:
         # A commit the snapshot already reaches adds nothing.
         before = self._live_starts(snapshot).get(added.version)
         if before is None:
-            return self.spark.createDataFrame([], snapshot.schema)
+            return no_rows(self.spark, snapshot.schema)
         return aligned(self.live.only(added).withColumn(ID, F.col(ID) + before), snapshot.schema)
 
     # -- reading ---------------------------------------------------------------------------------

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headrace.operators.mirror import mirror_files
 from headrace.plans.export import export_changes
 from headrace.plans.ingest import FILES_PER_COMMIT, ingest
 from headrace.sources.committed import CommittedTable
+from headrace.sources.literals import one_row
 from headrace.sources.relational import JdbcTable
 
-SUMMARY = (
-    "new_files LONG, version_before LONG, version_after LONG, mirrored_files LONG, "
-    "unmirrored_files LONG, exported_rows LONG"
-)
+SUMMARY = T.StructType(
+    [
+        T.StructField(name, T.LongType())
+        for name in (
+            "new_files", "version_before", "version_after", "mirrored_files", "unmirrored_files", "exported_rows"
+        )
+    ]
+)
 
 
 def mirror_pending(
@@ -50,7 +56,5 @@ def run_daily(
     else:
         counts = (0, 0)
     exported = export_changes(lake, target)
-    summary = (
-        len(new.files), new.version_before, new.version_after, *counts, exported.rows if exported else 0
-    )
-    return spark.createDataFrame([summary], SUMMARY)
+    rows = exported.rows if exported else 0
+    return one_row(spark, SUMMARY, len(new.files), new.version_before, new.version_after, *counts, rows)

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     # lets partitioned writes keep a few writers open instead of sorting each task
     "spark.sql.maxConcurrentOutputFileWriters": "64",
+    # plans here are built from many small expressions; recording a call site for each costs more
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

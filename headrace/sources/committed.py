@@ -14,11 +14,12 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headrace.functions.columns import widened
+from headrace.sources.literals import no_rows, one_row
 
 VERSION = "commit_version"
 COMMITTED_AT = "_commit_timestamp"
@@ -44,16 +45,9 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _literal(value: Any, kind: T.DataType) -> Column:
-    if isinstance(value, Mapping):
-        return F.create_map(*(F.lit(x) for item in value.items() for x in item)).cast(kind)
-    return F.lit(value).cast(kind)
-
-
 def write_record(spark: SparkSession, location: str, key: int, schema: T.StructType, *values: Any) -> None:
     """Write or replace the one-row record of this key."""
-    columns = (_literal(value, f.dataType).alias(f.name) for value, f in zip(values, schema, strict=True))
-    spark.range(1).coalesce(1).select(*columns).write.mode("overwrite").parquet(f"{location}/{RECORD_KEY}={key}")
+    one_row(spark, schema, *values).write.mode("overwrite").parquet(f"{location}/{RECORD_KEY}={key}")
 
 
 def read_records(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame:
@@ -64,7 +58,7 @@ def read_records(spark: SparkSession, location: str, schema: T.StructType) -> Da
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], full)
+        return no_rows(spark, full)
 
 
 @dataclass(frozen=True)
@@ -177,13 +171,13 @@ class CommittedTable:
         """Rows of the commits first..last, both included, with their version and commit time."""
         rows = self._newest_rows(last, LISTED_VERSIONS + 1)
         if not rows:
-            return self.spark.createDataFrame([], _stored(T.StructType()))
+            return no_rows(self.spark, _stored(T.StructType()))
         newest = Commit.of(rows[0])
         schema = _stored(newest.schema)
         low = max(first or 0, newest.base)
         reader = self.spark.read.schema(schema).option("basePath", self.data)
         if low > newest.version:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         if len(rows) > LISTED_VERSIONS and low <= rows[-1][VERSION]:
             return reader.parquet(self.data).where(F.col(VERSION).between(low, newest.version))
         # Naming the directories spares listing those of all other versions.
