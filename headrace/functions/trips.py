@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headrace.functions import envelope
+
 # The stream's field order, code sets and ranges.
 FIELDS = [
     "hvfhs_license_num",
@@ -101,3 +103,8 @@ def trips(rows: DataFrame, key: str, time: str, seed: int = 0) -> DataFrame:
         else:
             columns[name] = _uniform(draw, *RANGES.get(name, OTHER_RANGE))
     return rows.select(*(columns[name].alias(name) for name in FIELDS))
+
+
+def messages(rows: DataFrame, key: str, time: str, seed: int = 0) -> DataFrame:
+    """The same trips as stream messages."""
+    return envelope.encode(trips(rows, key, time, seed), ENVELOPE_NAME)

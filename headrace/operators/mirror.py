@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import chain
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headrace.sources.files import by_halves, list_files, stored_schemas
+from headrace.sources.literals import no_rows
 
 SOURCE_FILE = "source_file"
 OUTCOME = "path STRING, source_file STRING, status STRING"
+SCHEMAS_AT_ONCE = 4
 
 
 def _folder_and_name(path: str) -> tuple[str, str]:
@@ -19,6 +24,12 @@ def _folder_and_name(path: str) -> tuple[str, str]:
     return folder, name
 
 
+def _own_name() -> Column:
+    """A row's file name as it is on disk; Spark's metadata has blanks and signs percent-encoded."""
+    name = F.col("_metadata.file_name")
+    return F.when(name.contains("%"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+
+
 def mirror_files(spark: SparkSession, paths: Sequence[str], destination: str) -> DataFrame:
     """Copy the rows of each file to ``destination/source_file=<name>``, replacing an older copy.
 
@@ -36,34 +47,33 @@ def mirror_files(spark: SparkSession, paths: Sequence[str], destination: str) ->
         else:
             alike[schema.json()].append(path)
 
-    def copy(group: list[str]) -> None:
+    def copy(group: list[str]) -> DataFrame:
+        rows = spark.read.parquet(*group).withColumn(SOURCE_FILE, _own_name())
         (
-            spark.read.parquet(*group)
-            .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SOURCE_FILE)
             .parquet(destination)
         )
+        return rows.select(SOURCE_FILE)
 
-    for files in alike.values():
-        for group, error in by_halves(files, copy, may_split=lambda error: True):
-            statuses.update(dict.fromkeys(group, "failed" if isinstance(error, Exception) else "ok"))
+    def copy_alike(files: list[str]) -> list[tuple[list[str], DataFrame | Exception]]:
+        return by_halves(files, copy, may_split=lambda error: True)
+
+    copied = no_rows(spark, T.StructType().add(SOURCE_FILE, T.StringType()))
+    # Files of one schema touch directories of their own, so several schemas can be written at a time.
+    with ThreadPoolExecutor(SCHEMAS_AT_ONCE) as threads:
+        for group, names in chain.from_iterable(threads.map(copy_alike, alike.values())):
+            if isinstance(names, Exception):
+                statuses.update(dict.fromkeys(group, "failed"))
+            else:
+                statuses.update(dict.fromkeys(group, "ok"))
+                copied = copied.unionByName(names)
+    # Row counts of the files copied in full, from their footers.
+    counts = copied.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("counted"))
 
     outcomes = [(path, _folder_and_name(path)[1], status) for path, status in statuses.items()]
     report = spark.createDataFrame(outcomes, OUTCOME)
-    copied = sorted(name for _, name, status in outcomes if status == "ok")
-    if not copied:
-        return report.withColumn("row_count", F.lit(0).cast("bigint"))
-    # Counted from the copies, by footers alone.
-    counts = (
-        spark.read.schema(f"{SOURCE_FILE} STRING")
-        .option("basePath", destination)
-        .parquet(destination)
-        .where(F.col(SOURCE_FILE).isin(copied))
-        .groupBy(SOURCE_FILE)
-        .agg(F.count(F.lit(1)).alias("counted"))
-    )
     ok = F.col("status") == "ok"
     return report.join(counts, SOURCE_FILE, "left").select(
         "path",

@@ -69,16 +69,16 @@ class JdbcTable:
     def exported_through(self) -> int:
         return self.progress.last_version() if self.progress else NONE
 
-    def append(self, df: DataFrame, through: int | None = None, partitions: int | None = None) -> int:
-        """Insert rows and record the version reached. Counted in the same pass."""
-        writer_options = dict(self.options)
-        if partitions:
-            writer_options["numPartitions"] = str(partitions)
+    def _write(self, df: DataFrame, mode: str, **options: str) -> int:
+        """Write rows and count them in the same pass."""
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = counted.write.format("jdbc").options(**writer_options)
-        writer.option("dbtable", self.table).mode("append").save()
-        rows = seen.get["rows"]
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("jdbc")
+        writer.options(**self.options, **options).option("dbtable", self.table).mode(mode).save()
+        return seen.get["rows"]
+
+    def append(self, df: DataFrame, through: int | None = None, writers: int | None = None) -> int:
+        """Insert rows, by at most so many tasks at once, and record the version reached."""
+        rows = self._write(df, "append", **({"numPartitions": str(writers)} if writers else {}))
         if self.progress is not None and through is not None:
             done = self.spark.createDataFrame([(self.table, rows)], "target STRING, row_count LONG")
             self.progress.commit(done, through)
@@ -87,26 +87,24 @@ class JdbcTable:
     def overwrite(
         self,
         df: DataFrame,
-        partitions: int = SNAPSHOT_WRITERS,
+        writers: int = SNAPSHOT_WRITERS,
         batch: int = SNAPSHOT_BATCH,
+        spread: bool = False,
         keep_definition: bool = True,
     ) -> int:
-        """Replace all rows with many parallel writers.
+        """Replace all rows.
 
+        At most ``writers`` tasks write at once; more partitions than that are merged without a
+        shuffle. ``spread`` shuffles a table of fewer partitions over all writers.
         ``keep_definition`` empties the table instead of dropping it, so types and indexes stay.
         """
-        seen = Observation()
-        spread = df.repartition(partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
-        (
-            spread.write.format("jdbc")
-            .options(**self.options)
-            .option("dbtable", self.table)
-            .option("batchsize", str(batch))
-            .option("truncate", str(keep_definition).lower())
-            .mode("overwrite")
-            .save()
+        return self._write(
+            df.repartition(writers) if spread else df,
+            "overwrite",
+            numPartitions=str(writers),
+            batchsize=str(batch),
+            truncate=str(keep_definition).lower(),
         )
-        return seen.get["rows"]
 
     def missing_columns(self, names: Sequence[str]) -> list[str]:
         """Names an append would need that the table lacks; Spark does not add columns over JDBC."""

@@ -196,3 +196,4 @@ def _trip_columns(seed: int) -> str:
 
 
 ORACLE["synthetic_trips"] = f"SELECT {_trip_columns(42)}\nFROM events"
+ORACLE["synthetic_trip_stream"] = ORACLE["synthetic_trips"]

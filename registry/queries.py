@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headrace.functions import envelope
 from headrace.functions.columns import normalise
-from headrace.functions.trips import trips
+from headrace.functions.trips import messages, trips
 from headrace.operators import changelog, counts, keys, serving
 from headrace.operators.changefeed import exportable
 from headrace.operators.mirror import mirror_files
@@ -115,6 +115,12 @@ def lake_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.table_report(lake)
 
 
+@registered
+def lake_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten rows to look at; which ones is not defined, so there is no SQL to compare with."""
+    return counts.sample(_ingested_parts(spark, sf_dir)[1])
+
+
 @registered
 def lake_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.row_count(_ingested_parts(spark, sf_dir)[1].read())
@@ -285,8 +291,11 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages through one topic to the next and into a table."""
-    first = _message_topic(spark, sf_dir)
+    """Messages through one topic to the next and into a table; unreadable ones are set aside."""
+    return _streamed_to_table(spark, _message_topic(spark, sf_dir))
+
+
+def _streamed_to_table(spark: SparkSession, first: str) -> DataFrame:
     second = scratch(spark, "topic")
     copied = topics.folder_sink(topics.folder_source(spark, first), second)
     topics.pass_through(copied, scratch(spark, "checkpoint"), once=True)
@@ -383,6 +392,14 @@ def synthetic_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips(table(spark, sf_dir, "events"), "event_id", "ts", seed=42)
 
 
+@registered
+def synthetic_trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips sent as messages, from topic to topic and into the stream table."""
+    topic = scratch(spark, "topic")
+    messages(table(spark, sf_dir, "events"), "event_id", "ts", seed=42).write.parquet(topic)
+    return _streamed_to_table(spark, topic)
+
+
 @registered
 def federated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lake orders with relational customers; orders are reduced to one row per customer first."""

@@ -169,3 +169,17 @@ def test_sql_over_named_sources(spark, place):
         spark, "SELECT name FROM lake_t JOIN rel_t USING (a)", {"rel_t": relational.read()}
     )
     assert rows(out) == [("two",)]
+
+
+def test_names_with_blanks_and_signs(spark, place):
+    folder = place("source")
+    paths = [add_file(spark.range(n + 1), folder, name) for n, name in enumerate(["a b", "c=d", "e%20f", "g+h"])]
+    lake, target = tables(spark, place)
+    summary = run_daily(spark, folder, lake, CommittedTable(spark, place("log")), place("mirror"), target)
+    assert tuple(summary.first()) == (4, -1, 0, 4, 0, 10)
+    out = place("mirror")
+    report = mirror_files(spark, [f"file:{path}" for path in paths], out)
+    assert rows(report, "source_file", "row_count") == [
+        ("a b.parquet", 1), ("c=d.parquet", 2), ("e%20f.parquet", 3), ("g+h.parquet", 4),
+    ]
+    assert spark.read.parquet(out).count() == 10

@@ -39,10 +39,10 @@ def in_order(names, content):
 
 
 def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() - SQL.keys() == {"lake_sample"} and not SQL.keys() - QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", SQL)
 def test_query(spark, database, name):
     df = QUERIES[name](spark, str(SF_DIR))
     expected = database.execute(SQL[name])

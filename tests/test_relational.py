@@ -28,13 +28,13 @@ class Session:
 
 
 def test_exists_asks_the_databases_own_metadata():
-    for found in ([("nyc",)], []):
+    for found in ([("trips",)], []):
         session = Session(found)
-        assert JdbcTable(session, OPTIONS, "public.NYC").exists() == bool(found)
+        assert JdbcTable(session, OPTIONS, "public.Trips").exists() == bool(found)
         assert ("format", "jdbc") in session.read.calls
         assert ("options", *sorted(OPTIONS.items())) in session.read.calls
         query = next(c for c in session.read.calls if c[:2] == ("option", "query"))[2]
-        assert query == "SELECT table_name FROM information_schema.columns WHERE lower(table_name) = 'nyc'"
+        assert query == "SELECT table_name FROM information_schema.columns WHERE lower(table_name) = 'trips'"
 
 
 def test_a_quote_in_the_name_cannot_end_the_text():
@@ -45,15 +45,15 @@ def test_a_quote_in_the_name_cannot_end_the_text():
 
 
 def test_columns_and_missing_ones():
-    table = JdbcTable(Session([("b", 2), ("A", 1)]), OPTIONS, "nyc")
+    table = JdbcTable(Session([("b", 2), ("A", 1)]), OPTIONS, "trips")
     assert table.columns() == ["A", "b"]
     assert table.missing_columns(["a", "B", "c"]) == ["c"]
 
 
 def test_read_in_parallel():
     session = Session()
-    JdbcTable(session, OPTIONS, "nyc").read("id", (1, 1000), 20)
-    assert ("option", "dbtable", "nyc") in session.read.calls
+    JdbcTable(session, OPTIONS, "trips").read("id", (1, 1000), 20)
+    assert ("option", "dbtable", "trips") in session.read.calls
     split = {"partitionColumn": "id", "lowerBound": 1, "upperBound": 1000, "numPartitions": 20}
     assert ("options", *sorted(split.items())) in session.read.calls
 
@@ -85,13 +85,13 @@ def frame(monkeypatch, spark):
 
 def test_append_inserts_and_records_the_version(spark, place, frame):
     progress = CommittedTable(spark, place())
-    table = JdbcTable(spark, OPTIONS, "nyc", progress)
+    table = JdbcTable(spark, OPTIONS, "trips", progress)
     assert table.exported_through() == -1
-    assert table.append(frame, 4, partitions=16) == 3
+    assert table.append(frame, 4, writers=16) == 3
     assert ("mode", "append") in frame.write.calls and ("save",) in frame.write.calls
     assert ("options", *sorted({**OPTIONS, "numPartitions": "16"}.items())) in frame.write.calls
     assert table.exported_through() == 4
-    assert [tuple(r) for r in progress.read().collect()] == [("nyc", 3)]
+    assert [tuple(r) for r in progress.read().collect()] == [("trips", 3)]
 
 
 def test_a_failed_append_records_nothing(spark, place, frame):
@@ -106,20 +106,22 @@ def test_a_failed_append_records_nothing(spark, place, frame):
         setattr(down, step, lambda *a, **k: down)
     frame.write = down
     with pytest.raises(ConnectionError):
-        JdbcTable(spark, OPTIONS, "nyc", progress).append(frame, 4)
+        JdbcTable(spark, OPTIONS, "trips", progress).append(frame, 4)
     assert progress.last_version() == -1
 
 
 def test_overwrite_uses_many_writers_and_batches(spark, frame):
-    assert JdbcTable(spark, OPTIONS, "nyc").overwrite(frame) == 3
-    assert frame.spread == 100
-    for expected in (("option", "batchsize", "1000"), ("option", "truncate", "true"), ("mode", "overwrite")):
-        assert expected in frame.write.calls
+    asked = {"numPartitions": "100", "batchsize": "1000", "truncate": "true"}
+    assert JdbcTable(spark, OPTIONS, "trips").overwrite(frame) == 3
+    assert frame.spread is None and ("mode", "overwrite") in frame.write.calls
+    assert ("options", *sorted({**OPTIONS, **asked}.items())) in frame.write.calls
+    JdbcTable(spark, OPTIONS, "trips").overwrite(frame, writers=7, spread=True)
+    assert frame.spread == 7
 
 
 def test_without_a_driver_the_error_is_raised(spark):
     with pytest.raises(Exception, match="(?i)driver"):
-        JdbcTable(spark, OPTIONS, "nyc").exists()
+        JdbcTable(spark, OPTIONS, "trips").exists()
 
 
 def test_jdbc_catalog_is_configured(spark):
