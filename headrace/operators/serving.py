@@ -105,7 +105,8 @@ class ServingTable:
         """Rebuild from both inputs and return one row: status, counts and seconds.
 
         A committed table is numbered where it lies. Any other frame is stored first, because ids
-        are counted from stored rows. On an error nothing changes but the log, and the row says FAILED.
+        are counted from stored rows; as the stream side it stands for all the stream has delivered
+        so far. On an error nothing changes but the log, and the row says FAILED.
         """
         run = self._next_run()
         started = time.monotonic()

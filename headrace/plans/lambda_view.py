@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from headrace.operators.serving import ServingTable
+from headrace.functions.columns import ID, aligned
+from headrace.operators.changelog import as_messages, keyed_changes, row_changes
+from headrace.operators.serving import SUCCESS, ServingTable
 from headrace.sources.committed import CommittedTable
 from headrace.streaming.tables import StreamToTable, table_sink
 from headrace.streaming.topics import run
 
 
 class LambdaView:
-    """The tables of one view under one folder: batch, stream, serving, rejects and changelog."""
+    """The tables of one view under one folder: batch, stream, serving, rejects and changelogs."""
 
     def __init__(self, spark: SparkSession, location: str):
         self.location = location.rstrip("/")
@@ -20,6 +24,7 @@ class LambdaView:
         self.stream = CommittedTable(spark, f"{self.location}/stream")
         self.rejects = CommittedTable(spark, f"{self.location}/rejects")
         self.changelog = CommittedTable(spark, f"{self.location}/changelog")
+        self.rebuild_changelog = CommittedTable(spark, f"{self.location}/rebuild_changelog")
         self.serving = ServingTable(spark, f"{self.location}/serving")
 
     def follow(self, messages: DataFrame, once: bool = False) -> StreamingQuery:
@@ -29,9 +34,20 @@ class LambdaView:
         )
         return run(table_sink(messages, step), f"{self.location}/checkpoint", once)
 
-    def rebuild(self) -> DataFrame:
-        """Full merge of what both tables hold now."""
-        return self.serving.merge(self.batch, self.stream)
+    def rebuild(self, keys: Sequence[str] | None = None) -> DataFrame:
+        """Full merge of what both tables hold now.
+
+        With business keys (or an empty list for none) the difference to the rows served before goes
+        to ``rebuild_changelog``. Row ids restart with every merge, so they take no part in it.
+        """
+        before = self.serving.read()
+        result = self.serving.merge(self.batch, self.stream)
+        if keys is not None and result.first()["status"] == SUCCESS:
+            after = self.serving.read().drop(ID)
+            before = aligned(before, after.schema)
+            changes = keyed_changes(before, after, keys) if keys else row_changes(before, after)
+            self.rebuild_changelog.commit(as_messages(changes))
+        return result
 
     def read(self) -> DataFrame:
         return self.serving.read()

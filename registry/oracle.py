@@ -121,6 +121,14 @@ SELECT 'c' AS op, CAST(NULL AS VARCHAR) AS before, CAST(o_orderkey AS VARCHAR) A
        CAST(o_totalprice AS VARCHAR) AS o_totalprice, 'stream' AS data_source
 FROM {_STREAM}"""
 
+ORACLE["changelog_rebuild"] = f"""
+SELECT 'd' AS op, CAST(o_orderkey AS VARCHAR) AS before_key, CAST(o_totalprice AS VARCHAR) AS before_price,
+       CAST(NULL AS VARCHAR) AS after_key, CAST(NULL AS VARCHAR) AS after_price
+FROM {_BATCH} WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT 'u', CAST(o_orderkey AS VARCHAR), CAST(o_totalprice AS VARCHAR), CAST(o_orderkey AS VARCHAR), '0.0'
+FROM {_BATCH} WHERE o_orderstatus = 'F'"""
+
 _BEFORE = "SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY'"
 _AFTER = """
 SELECT * REPLACE (CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'VEHICLES' ELSE c_mktsegment END

@@ -339,8 +339,8 @@ def lambda_view_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def changelog_autosync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events published while the stream was followed."""
-    messages = _followed_view(spark, sf_dir).changelog.read()
-    return messages.select(
+    published = _followed_view(spark, sf_dir).changelog.read()
+    return published.select(
         F.get_json_object("value", "$.op").alias("op"),
         F.get_json_object("value", "$.before").alias("before"),
         F.get_json_object("value", "$.after.o_orderkey").alias("o_orderkey"),
@@ -349,6 +349,24 @@ def changelog_autosync(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def changelog_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a full merge changed after history was corrected: pending orders gone, filled ones free."""
+    view = _followed_view(spark, sf_dir)
+    history = inputs.batch_orders(spark, sf_dir).where("o_orderstatus <> 'P'")
+    free = F.when(F.col("o_orderstatus") == "F", 0.0).otherwise(F.col("o_totalprice"))
+    full_reload(normalise(history.withColumn("o_totalprice", free)), view.batch)
+    view.rebuild(keys=["o_orderkey"])
+    published = view.rebuild_changelog.read()
+    return published.select(
+        F.get_json_object("value", "$.op").alias("op"),
+        F.get_json_object("value", "$.before.o_orderkey").alias("before_key"),
+        F.get_json_object("value", "$.before.o_totalprice").alias("before_price"),
+        F.get_json_object("value", "$.after.o_orderkey").alias("after_key"),
+        F.get_json_object("value", "$.after.o_totalprice").alias("after_price"),
+    )
+
+
 # -- changelog ------------------------------------------------------------------------------------
 
 

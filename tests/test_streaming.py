@@ -180,3 +180,23 @@ def test_kafka_sink_settings():
     assert Messages.writeStream.calls == expected
     topics.publish(Messages(), "broker:9092", "out")
     assert Messages.write.calls == [*expected, ("save",)]
+
+
+def test_a_rebuild_publishes_what_it_changed(spark, place):
+    topic, view = topic_folder(spark, place), LambdaView(spark, place())
+    view.batch.commit(spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c")], "k STRING, v STRING"))
+    view.serving.create(["k", "v"], ["k", "v"])
+    send(spark, topic, message({"k": "9", "v": "s"}))
+    view.follow(topics.folder_source(spark, topic), once=True)
+    view.rebuild(keys=["k"])
+    view.batch.overwrite(spark.createDataFrame([("1", "a"), ("2", "B"), ("4", "d")], "k STRING, v STRING"))
+    view.rebuild(keys=["k"])
+    view.rebuild(keys=[])
+
+    def published(version):
+        found = [json.loads(r["value"]) for r in view.rebuild_changelog.scan(version, version).collect()]
+        return sorted((e["op"], (e["before"] or {}).get("v"), (e["after"] or {}).get("v")) for e in found)
+
+    assert published(0) == [("c", None, "a"), ("c", None, "b"), ("c", None, "c")]
+    assert sorted(published(1), key=str) == [("c", None, "d"), ("d", "c", None), ("u", "b", "B")]
+    assert published(2) == []
