@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from headrace.functions.columns import ID, field
 
-# File counts are added up in this many groups, so that no single task sees all files.
+# Up to so many files are listed on the driver, as in every micro-batch.
+LISTED_FILES = 1000
+# More are added up in this many groups, so that no single task sees all files.
 GROUPS = 256
 # Largest list of files that is sent to every executor. Longer ones are joined by shuffle.
 BROADCAST_BYTES = 200 * 1024 * 1024
@@ -28,6 +30,37 @@ def _files(scan: DataFrame) -> DataFrame:
     return counts.withColumn("_group", F.pmod(F.xxhash64("_file"), F.lit(GROUPS)))
 
 
+def _listed_firsts(scan: DataFrame, start: int) -> tuple[DataFrame, int] | None:
+    """First id per file and the row count, where the files are few enough to be listed here."""
+    listed = _files(scan).limit(LISTED_FILES + 1).collect()
+    if len(listed) > LISTED_FILES:
+        return None
+    firsts, next_id = [], start
+    for row in sorted(listed, key=lambda row: row["_file"]):
+        firsts.append((row["_file"], next_id))
+        next_id += row["_rows"]
+    frame = scan.sparkSession.createDataFrame(firsts, "_file STRING, _first LONG").coalesce(1)
+    return F.broadcast(frame), next_id - start
+
+
+def _grouped_firsts(scan: DataFrame, start: int, broadcast_bytes: int) -> tuple[DataFrame, int]:
+    """The same for any number of files: only sums per group are listed here."""
+    files = _files(scan)
+    totals = files.groupBy("_group").agg(
+        F.sum("_rows").alias("rows"), F.sum(F.length("_file") + ENTRY_BYTES).alias("size")
+    )
+    starts, next_id, size = {}, start, 0
+    for row in sorted(totals.collect(), key=lambda row: row["_group"]):
+        starts[row["_group"]] = next_id
+        next_id += row["rows"]
+        size += row["size"]
+    group_starts = F.create_map(*(F.lit(x) for item in starts.items() for x in item))
+    before = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    rows_before = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    firsts = files.select("_file", (group_starts[F.col("_group")] + rows_before).alias("_first"))
+    return (F.broadcast(firsts) if size <= broadcast_bytes else firsts), next_id - start
+
+
 def number_rows(
     scans: Mapping[str, DataFrame], start: int = 1, broadcast_bytes: int = BROADCAST_BYTES
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
@@ -36,35 +69,10 @@ def number_rows(
     A scan must read whole Parquet files: columns may be chosen or renamed and whole directories
     left out, but rows may not be filtered, or the ids would have gaps.
     """
-    totals = None
-    for name, scan in scans.items():
-        part = _files(scan).groupBy("_group").agg(
-            F.sum("_rows").alias("rows"), F.sum(F.length("_file") + ENTRY_BYTES).alias("size")
-        )
-        part = part.select(F.lit(name).alias("scan"), "_group", "rows", "size")
-        totals = part if totals is None else totals.unionByName(part)
-    # At most GROUPS rows per scan reach the driver, however many files there are.
-    found = {(row["scan"], row["_group"]): row for row in totals.collect()}
-
-    numbered, counts, next_id = {}, {}, start
-    before = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    numbered, counts = {}, {}
     for name, scan in scans.items():
-        begin = {}
-        counts[name], size = 0, 0
-        for group in range(GROUPS):
-            if (row := found.get((name, group))) is not None:
-                begin[group] = next_id
-                next_id += row["rows"]
-                counts[name] += row["rows"]
-                size += row["size"]
-        if not begin:
-            numbered[name] = scan.select(F.lit(None).cast("bigint").alias(ID), "*")
-            continue
-        starts = F.create_map(*(F.lit(x) for item in begin.items() for x in item))
-        rows_before = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-        firsts = _files(scan).select("_file", (starts[F.col("_group")] + rows_before).alias("_first"))
-        if size <= broadcast_bytes:
-            firsts = F.broadcast(firsts)
+        firsts, counts[name] = _listed_firsts(scan, start) or _grouped_firsts(scan, start, broadcast_bytes)
+        start += counts[name]
         placed = scan.select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")
         )

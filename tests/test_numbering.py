@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from headrace.operators import numbering
 from headrace.operators.numbering import number_rows
 
 
@@ -9,8 +10,11 @@ def stored(spark, path, n, files):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("limit", [0, 10**9], ids=["by shuffle", "by broadcast"])
-def test_ids_are_dense_and_follow_the_scans(spark, place, limit):
+@pytest.mark.parametrize(
+    ("listed", "limit"), [(1000, 0), (2, 10**9), (2, 0)], ids=["listed", "grouped, broadcast", "grouped, shuffled"]
+)
+def test_ids_are_dense_and_follow_the_scans(spark, place, monkeypatch, listed, limit):
+    monkeypatch.setattr(numbering, "LISTED_FILES", listed)
     scans = {"first": stored(spark, place(), 1000, 7), "second": stored(spark, place(), 300, 3)}
     numbered, counts = number_rows(scans, broadcast_bytes=limit)
     assert counts == {"first": 1000, "second": 300}
@@ -43,7 +47,9 @@ def test_empty_and_renamed_scans(spark, place):
     assert sorted(r["id"] for r in numbered["full"].collect()) == [1, 2, 3, 4, 5]
 
 
-def test_rows_are_not_shuffled(spark, place):
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_rows_are_not_shuffled(spark, place, monkeypatch, listed):
+    monkeypatch.setattr(numbering, "LISTED_FILES", listed)
     scan = stored(spark, place(), 100, 2)
     numbered, _ = number_rows({"s": scan})
     plan = numbered["s"]._jdf.queryExecution().executedPlan().toString()
