@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 from headrace.llm.common import table
 from headrace.llm.decontaminate import decontaminate
+from headrace.llm.packing import pack
+from headrace.llm.sharding import shard
+from headrace.llm.token_counts import count_tokens
+from headrace.session import scratch
+
+PACKING_TOKENIZER = "word_bpe_49k.json"
+COUNTING_TOKENIZER = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -21,4 +34,22 @@ def op1_decontamination(spark, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_decontamination": op1_decontamination}
+def op3_packing(spark, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
+
+
+def op4_token_counts(spark, sf_dir: str) -> DataFrame:
+    cache = scratch(spark, "token-cache")
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(COUNTING_TOKENIZER), cache)
+
+
+def op9_sharding(spark, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op3_packing": op3_packing,
+    "op4_token_counts": op4_token_counts,
+    "op9_sharding": op9_sharding,
+}
