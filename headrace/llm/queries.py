@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from headrace.llm.common import table
 from headrace.llm.decontaminate import decontaminate
+from headrace.llm.labelled import fold
 from headrace.llm.packing import pack
+from headrace.llm.page_text import extract
+from headrace.llm.quality import quality
 from headrace.llm.sharding import shard
 from headrace.llm.token_counts import count_tokens
+from headrace.llm.toxicity import toxicity
 from headrace.session import scratch
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +38,24 @@ def op1_decontamination(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def _classified(spark, sf_dir: str, classify, folds: int, held_out: int) -> DataFrame:
+    """Fit on the labels outside one fold, score every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(fold(F.col("doc_id"), folds) != held_out)
+    narrow = docs.select("doc_id", "text")
+    return classify(narrow, narrow, known).select(
+        "doc_id", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "score", "predicted"
+    )
+
+
+def op2_quality(spark, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality, 5, 0)
+
+
+def op5_toxicity(spark, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity, 4, 2)
+
+
 def op3_packing(spark, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(PACKING_TOKENIZER))
 
@@ -47,9 +69,17 @@ def op9_sharding(spark, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op10_page_text(spark, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op9_sharding": op9_sharding,
+    "op10_page_text": op10_page_text,
 }
