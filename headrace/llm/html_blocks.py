@@ -50,26 +50,27 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     run: list[str] = []
-    path: tuple[str, ...] = ()
+    path: tuple[str, ...] | None = None  # of the run, from its first text on
     linked = at = 0
 
+    def close() -> None:
+        nonlocal linked, path
+        if path is not None:
+            joined = "".join(run)
+            text = " ".join((html.unescape(joined) if "&" in joined else joined).split())
+            if text:
+                found.append(Block(text, path, min(1.0, linked / len(text))))
+        run.clear()
+        linked, path = 0, None
+
     def read(piece: str) -> None:
         nonlocal path, linked
-        if piece and not piece.isspace():
-            if not any(not r.isspace() for r in run):
-                path = tuple(n for _, names in stack for n in names)
-            if any(tag == "a" for tag, _ in stack):
+        run.append(piece)
+        if not piece.isspace():
+            if path is None:
+                path = tuple([n for _, names in stack for n in names])
+            if any([tag == "a" for tag, _ in stack]):
                 linked += len(piece)
-        if piece:
-            run.append(piece)
-
-    def close() -> None:
-        nonlocal linked
-        text = " ".join(html.unescape("".join(run)).split())
-        if text:
-            found.append(Block(text, path, min(1.0, linked / len(text))))
-        run.clear()
-        linked = 0
 
     def pop_to(tags: set[str], stop: set[str]) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -80,18 +81,21 @@ def blocks(page: str) -> list[Block]:
                 return
 
     for token in _TOKEN.finditer(page):
-        read(page[at : token.start()])
+        if token.start() > at:
+            read(page[at : token.start()])
         at = token.end()
-        tag = (token["tag"] or token["tag2"] or "").lower()
-        if token["raw"]:
+        raw, end, tag, rest, end2, tag2 = token.groups()
+        if raw:
             close()
+        tag = (tag or tag2 or "").lower()
         if not tag:
             continue
         if tag in BLOCK_TAGS:
-            close()
+            if run:
+                close()
         elif tag == "br":
             run.append(" ")
-        if token["end"] or token["end2"]:
+        if end or end2:
             pop_to({tag}, set())
             continue
         if tag in CLOSES_P:
@@ -100,10 +104,11 @@ def blocks(page: str) -> list[Block]:
             pop_to(LIKE_CLOSES[tag], HELD_BY[tag])
         if tag not in VOID_TAGS:
             names = [tag]
-            if rest := token["rest"]:
+            if rest:
                 for value in _NAMES.findall(rest):
                     names += ["." + part for part in _PARTS.findall(value.lower())]
             stack.append((tag, tuple(names)))
-    read(page[at:])
+    if at < len(page):
+        read(page[at:])
     close()
     return found

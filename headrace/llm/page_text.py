@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ FITTED_PAGES = 600  # the largest number of pages that are fitted
 PATH_SLOTS, WORD_SLOTS, MEASURES = 256, 32, 6
 WIDTH = PATH_SLOTS + WORD_SLOTS + MEASURES
 UNITS = 12
-EPOCHS = 6
+EPOCHS = 10
 BATCH = 24
 RATE = 0.01
 PAGES_AT_ONCE = 128
@@ -44,24 +45,44 @@ MAIN = "article main .article .main .content .post .entry .story".split()
 _ASIDE, _MAIN = frozenset(ASIDE), frozenset(MAIN)
 
 
-def _slot(name: str, slots: int) -> int:
-    return zlib.crc32(name.encode("utf-8", "replace")) % slots
-
-
-def vector(block: Block, path: tuple[str, ...] | None = None) -> np.ndarray:
-    out = np.zeros(WIDTH, np.float32)
-    for name in block.path if path is None else path:
-        out[_slot(name, PATH_SLOTS)] = 1
-    words = block.text.split(" ")
-    hashed = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.int64, len(words))
-    out[PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = np.bincount(hashed % WORD_SLOTS, minlength=WORD_SLOTS) / len(words)
-    out[-MEASURES:] = (
-        np.log1p(len(words)) / 4,
-        len(block.text) / len(words) / 10,
-        block.text[-1] in ".!?…",
-        block.linked,
-        block.text.count(",") / len(words),
-        1,
+# Odd multipliers for the bytes of a word by their place in it.
+_PLACES = np.random.Generator(np.random.PCG64(3)).integers(1, 2**32, 64, dtype=np.uint32) | np.uint32(1)
+
+
+@lru_cache(maxsize=10_000)
+def _path_slots(path: tuple[str, ...]) -> tuple[int, ...]:
+    return tuple(zlib.crc32(name.encode("utf-8", "replace")) % PATH_SLOTS for name in set(path))
+
+
+def vectors(found: list[Block], paths: list[tuple[str, ...]]) -> np.ndarray:
+    """One row per block: names on the path, shares of hashed words, measures."""
+    out = np.zeros((len(found), WIDTH), np.float32)
+    if not found:
+        return out
+    for i, path in enumerate(paths):
+        out[i, _path_slots(path)] = 1
+    coded = [b.text.encode("utf-8", "replace") + b" " for b in found]
+    raw = np.frombuffer(b"".join(coded), np.uint8)
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    ends = np.flatnonzero(raw == 32)  # single spaces part a block's words, one ends it
+    starts = np.append(0, ends[:-1] + 1)
+    place = np.arange(len(raw)) - np.repeat(starts, ends + 1 - starts)
+    hashed = np.add.reduceat(raw.astype(np.uint32) * _PLACES[place & 63], starts, dtype=np.uint32)
+    owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
+    slots = (hashed * np.uint32(0x9E3779B1)) >> np.uint32(27)  # one of WORD_SLOTS
+    n = np.bincount(owner, minlength=len(found))
+    words = np.bincount(owner * WORD_SLOTS + slots.astype(np.int64), minlength=len(found) * WORD_SLOTS).reshape(-1, WORD_SLOTS)
+    out[:, PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = words / n[:, None]
+    out[:, -MEASURES:] = np.stack(
+        [
+            np.log1p(n) / 4,
+            sizes / n / 10,
+            np.array([b.text[-1] in ".!?…" for b in found]),
+            np.array([b.linked for b in found]),
+            np.array([b.text.count(",") for b in found]) / n,
+            np.ones(len(found)),
+        ],
+        axis=1,
     )
     return out
 
@@ -184,10 +205,10 @@ class Labeller:
             np.array([d.sum()], np.float32),
         ]
 
-    def main_blocks(self, vectors: list[list[np.ndarray]]) -> list[np.ndarray]:
+    def main_blocks(self, vectors: list[np.ndarray]) -> list[np.ndarray]:
         """Per page, which of its blocks are main text."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(vectors)
-        order = sorted((i for i, v in enumerate(vectors) if v), key=lambda i: len(vectors[i]))
+        order = sorted((i for i, v in enumerate(vectors) if len(v)), key=lambda i: len(vectors[i]))
         while order:  # pages of like length together, at most about PAGES_AT_ONCE * 64 steps
             longest = len(vectors[order[-1]])
             take = max(1, min(PAGES_AT_ONCE, PAGES_AT_ONCE * 64 // longest))
@@ -199,7 +220,7 @@ class Labeller:
         return out
 
 
-def padded(pages: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     steps = max(map(len, pages))
     x, mask = np.zeros((len(pages), steps, WIDTH), np.float32), np.zeros((len(pages), steps), np.float32)
     for i, page in enumerate(pages):
@@ -219,20 +240,29 @@ def fit(pages: list[str], seed: int = 5) -> Labeller:
         for at in range(0, len(order), BATCH):
             xs, ys, t = [], [], t + 1
             for i in order[at : at + BATCH]:
-                page, y = [], []
-                bare = draw.random() < 0.15
+                page, y, held = [], [], []
+                # one draw per page: names of its parts swapped for others, or missing; only some blocks there
+                swap, bare, few = draw.random() < 0.4, draw.random() < 0.15, draw.random() < 0.3
+                own, other = MAIN[draw.integers(len(MAIN))], ASIDE[draw.integers(len(ASIDE))]
                 for block in read[i]:
                     path, says = block.path, stated(block.path)
+                    if few and draw.random() < 0.6:
+                        continue
                     if draw.random() < 0.12 and says > 0:
                         path, says = (*path, ASIDE[draw.integers(len(ASIDE))]), 0.0
                     elif bare and says != 0.5 and draw.random() < 0.5:
                         path = tuple(n for n in path if n not in _ASIDE and n not in _MAIN)
-                    elif says == 0.5 and draw.random() < 0.3:
-                        path, says = (*path, MAIN[draw.integers(len(MAIN))]), 1.0
-                    page.append(vector(block, path))
+                    elif swap:
+                        path = tuple(own if n in _MAIN else other if n in _ASIDE else n for n in path)
+                    page.append(path)
                     y.append(says)
-                xs.append(page)
+                    held.append(block)
+                if not held:
+                    continue
+                xs.append(vectors(held, page))
                 ys.append(y)
+            if not xs:
+                continue
             x, mask = padded(xs)
             target = np.zeros(mask.shape, np.float32)
             for row, y in enumerate(ys):
@@ -248,7 +278,9 @@ def fit(pages: list[str], seed: int = 5) -> Labeller:
 
 def main_texts(model: Labeller, pages: list[str]) -> list[str]:
     read = [blocks(p) for p in pages]
-    kept = model.main_blocks([[vector(b) for b in page] for page in read])
+    every = [b for page in read for b in page]
+    parts = np.split(vectors(every, [b.path for b in every]), np.cumsum([len(page) for page in read])[:-1])
+    kept = model.main_blocks(parts)
     return [
         "\n\n".join(b.text for b, k in zip(page, keep, strict=True) if k)
         for page, keep in zip(read, kept, strict=True)
