@@ -30,4 +30,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
-ORACLE = {"op1_decontamination": OP1}
+OP8 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+g AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + least(len(w), 4) - 1], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM g AS a JOIN g AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+e AS (
+  SELECT p.a, p.b FROM p JOIN n AS x ON x.doc_id = p.a JOIN n AS y ON y.doc_id = p.b
+  WHERE 100 * p.k >= 85 * (x.n + y.n - p.k)
+),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents AS d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) AS c USING (doc_id)
+"""
+
+ORACLE = {"op1_decontamination": OP1, "op8_jaccard_join": OP8}

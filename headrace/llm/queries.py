@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from headrace.llm.common import table
 from headrace.llm.decontaminate import decontaminate
+from headrace.llm.jaccard_join import groups
 from headrace.llm.labelled import fold
 from headrace.llm.packing import pack
 from headrace.llm.page_text import extract
@@ -65,6 +66,10 @@ def op4_token_counts(spark, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(COUNTING_TOKENIZER), cache)
 
 
+def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    return groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_sharding(spark, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_page_text": op10_page_text,
 }
