@@ -54,4 +54,18 @@ FROM documents AS d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) AS c USING (doc_id)
 """
 
-ORACLE = {"op1_decontamination": OP1, "op8_jaccard_join": OP8}
+OP7 = """
+WITH c AS (
+  SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings
+        WHERE embedding IS NOT NULL)
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 GROUP BY 1, 2
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE = {"op1_decontamination": OP1, "op7_topk": OP7, "op8_jaccard_join": OP8}

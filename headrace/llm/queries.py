@@ -14,6 +14,7 @@ from headrace.llm.page_text import extract
 from headrace.llm.quality import quality
 from headrace.llm.sharding import shard
 from headrace.llm.token_counts import count_tokens
+from headrace.llm.topk import top_k
 from headrace.llm.toxicity import toxicity
 from headrace.session import scratch
 
@@ -66,6 +67,12 @@ def op4_token_counts(spark, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(COUNTING_TOKENIZER), cache)
 
 
+def op7_topk(spark, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = top_k(rows, rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -85,6 +92,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op7_topk": op7_topk,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_page_text": op10_page_text,
