@@ -84,10 +84,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted distinct ids as text), contaminated.
+    """One row per document: doc_id, key, n_words, n_hit, items (sorted distinct ids as text), contaminated.
 
     Null and empty texts have no words and are clean. Rows that repeat an id and a text each get the
-    same result; rows that share an id but not a text are told apart. A null id is an id like any
+    same result; rows that share an id but not a text are told apart by ``key``. A null id is an id like any
     other. Items without words match nothing; an item with a null id is hit but not listed. Empty
     tables are fine on either side, and other columns are ignored.
     """
@@ -152,6 +152,7 @@ def decontaminate(
     n_words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), BREAKS_ANY_CASE), ""))
     return docs.join(small, same(docs, small), "left").select(
         docs["doc_id"],
+        docs["_key"].alias("key"),
         n_words.cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -13,12 +13,15 @@ from headrace.llm.packing import pack
 from headrace.llm.page_text import extract
 from headrace.llm.quality import quality
 from headrace.llm.sharding import shard
+from headrace.llm.suffix_dedup import deduplicate
 from headrace.llm.token_counts import count_tokens
 from headrace.llm.topk import top_k
 from headrace.llm.toxicity import toxicity
 from headrace.session import scratch
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
+QUALITY_FOLDS, QUALITY_FOLD = 5, 0  # this fold of the labels is held out
+TOXIC_FOLDS, TOXIC_FOLD = 4, 2
 COUNTING_TOKENIZER = "piece_bpe_32k.model"
 
 
@@ -51,11 +54,11 @@ def _classified(spark, sf_dir: str, classify, folds: int, held_out: int) -> Data
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, quality, 5, 0)
+    return _classified(spark, sf_dir, quality, QUALITY_FOLDS, QUALITY_FOLD)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, toxicity, 4, 2)
+    return _classified(spark, sf_dir, toxicity, TOXIC_FOLDS, TOXIC_FOLD)
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
@@ -67,6 +70,12 @@ def op4_token_counts(spark, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(COUNTING_TOKENIZER), cache)
 
 
+def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    return deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_topk(spark, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = top_k(rows, rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
@@ -92,6 +101,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_topk": op7_topk,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
