@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from headrace.llm.common import small_side, stored, text_key
 from headrace.llm.components import components
-from headrace.llm.shingles import WORDS, mixed, shingle_set
+from headrace.llm.shingles import WORDS, mixed, shingle_sets
 
 PERCENT = 85
 FREQUENT = 1 << 16  # so many of the most frequent shingles are ordered by frequency
@@ -59,7 +59,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
-                sets = [shingle_set(t, words) for t in part["text"]]
+                sets = shingle_sets(list(part["text"]), words)
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy(),
@@ -83,8 +83,8 @@ def _postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             tokens, ids, sizes, places = [], [], [], []
-            for text in batch["text"]:
-                s = shingle_set(text, words)
+            texts = list(batch["text"])
+            for s in (s for at in range(0, len(texts), 256) for s in shingle_sets(texts[at : at + 256], words)):
                 if not len(s):
                     continue
                 if len(known):
@@ -111,7 +111,10 @@ def _postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
 
 
 def _whole_sets(docs: DataFrame, base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, shingles) of the wanted sets, read again from one document each."""
+    """(set_id, shingles) of the wanted sets, read again from one document each.
+
+    A row that repeats that document gives its set again; links are made distinct later.
+    """
     chosen = stored(
         base.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("doc_id", "key")).alias("d")),
         "chosen-documents",
@@ -126,12 +129,10 @@ def _whole_sets(docs: DataFrame, base: DataFrame, wanted: DataFrame, words: int)
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
                 yield pd.DataFrame(
-                    {"set_id": part["set_id"], "shingles": [shingle_set(t, words).view(np.int64) for t in part["text"]]}
+                    {"set_id": part["set_id"], "shingles": [s.view(np.int64) for s in shingle_sets(list(part["text"]), words)]}
                 )
 
-    return texts.select("set_id", "text").mapInPandas(read, "set_id bigint, shingles array<bigint>").dropDuplicates(
-        ["set_id"]
-    )
+    return texts.select("set_id", "text").mapInPandas(read, "set_id bigint, shingles array<bigint>")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, base: DataFrame, words: int, percent: int) -> DataFrame:
@@ -163,17 +164,26 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     top = counts.orderBy(F.desc("count"), "token").limit(FREQUENT).collect()
     frequent = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
     width = math.log(100 / (percent - 1))
-    index = stored(
-        _postings(docs, frequent, words, percent)
+    index = stored(_postings(docs, frequent, words, percent), "index")
+    lists = index.groupBy("token").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most")
+    lists = small_side(stored(lists.select("token"), "shared-shingles"), 16)
+    index = (
+        index.join(lists, "token")
+        .distinct()
         .withColumn("class", F.floor(F.log(F.col("size")) / width).cast("int"))
-        .withColumn("band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int")),
-        "index",
+        .withColumn("band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int"))
     )
-    lists = index.groupBy("token").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most")
-    index = stored(index.join(lists.select("token"), "token").distinct(), "shared-index")
+    index = stored(index, "shared-index")
 
-    leaders = index.groupBy("token", "class").agg(F.min("set_id").alias("a"))
-    first = index.join(leaders, ["token", "class"]).where("a < set_id").select("a", F.col("set_id").alias("b")).distinct()
+    needed = _needed(percent)
+    fits = f"x.size - x.pos >= {needed} and y.size - y.pos >= {needed}"
+    leaders = index.groupBy("token", "class").agg(F.min(F.struct("set_id", "size", "pos")).alias("y"))
+    first = (
+        index.alias("x")
+        .join(leaders.select("token", "class", "y.*").alias("y"), F.expr("x.token = y.token and x.class = y.class and y.set_id < x.set_id and " + fits))
+        .select(F.col("y.set_id").alias("a"), F.col("x.set_id").alias("b"))
+        .distinct()
+    )
     links = _linked(first, docs, base, words, percent)
     labels = stored(components(links), "labels")
 
@@ -206,7 +216,6 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         .where(F.col("block.band") <= F.floor(F.greatest(room, F.lit(0.0)) * BANDS) + 1)
         .select("token", "block.*", "set_id", "size", "pos", "label")
     )
-    needed = _needed(percent)
     second = (
         visits.alias("x")
         .join(
@@ -214,7 +223,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
             F.expr(
                 "x.token = y.token and x.class = y.class and x.band = y.band and x.label <> y.label"
                 " and (y.label = y.main or x.set_id < y.set_id)"
-                f" and x.size - x.pos >= {needed} and y.size - y.pos >= {needed}"
+                f" and {fits}"
             ),
         )
         .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
