@@ -13,7 +13,7 @@ Documents are sets of word shingles; two link at a Jaccard similarity of at leas
   at again: whole lists of one group are dropped, and of the other lists, the sets outside the
   list's largest group visit the rest. Only groups are asked for, so no answer is lost.
 
-Pairs are checked on the whole sets. No size or frequency limits what is compared; the bound on how
+Pairs are checked on the whole sets, after a bound from sets' parities that no linked pair fails. No size or frequency limits what is compared; the bound on how
 many frequent shingles are told apart only concerns the order, any of which is right.
 """
 
@@ -34,6 +34,7 @@ from headrace.llm.shingles import WORDS, mixed, shingle_sets
 PERCENT = 85
 FREQUENT = 1 << 16  # so many of the most frequent shingles are ordered by frequency
 BANDS = 4
+BITS = 4096
 _SUM = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -110,16 +111,18 @@ def _postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
     return docs.select("text").mapInPandas(read, "token bigint, set_id bigint, size int, pos int")
 
 
-def _whole_sets(docs: DataFrame, base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, shingles) of the wanted sets, read again from one document each.
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """``BITS`` bits: whether an odd number of shingles falls on each. Differing bits are differing shingles."""
+    odd = np.bincount((shingles >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-    A row that repeats that document gives its set again; links are made distinct later.
+
+def _read_again(docs: DataFrame, chosen: DataFrame, words: int, column: str, value) -> DataFrame:
+    """(set_id, column): ``value`` of each chosen document's set.
+
+    A row that repeats such a document gives its set again; links are made distinct later.
     """
-    chosen = stored(
-        base.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(F.struct("doc_id", "key")).alias("d")),
-        "chosen-documents",
-    ).select("set_id", F.col("d.doc_id").alias("chosen"), F.col("d.key").alias("chosen_key"))
-    side = small_side(chosen, 24)
+    side = small_side(chosen, 48)
     texts = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text").join(
         side, F.col("doc_id").eqNullSafe(F.col("chosen")) & (F.col("key") == F.col("chosen_key"))
     )
@@ -128,23 +131,48 @@ def _whole_sets(docs: DataFrame, base: DataFrame, wanted: DataFrame, words: int)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
-                yield pd.DataFrame(
-                    {"set_id": part["set_id"], "shingles": [s.view(np.int64) for s in shingle_sets(list(part["text"]), words)]}
-                )
+                sets = shingle_sets(list(part["text"]), words)
+                yield pd.DataFrame({"set_id": part["set_id"], column: [value(s) for s in sets]})
+
+    return texts.select("set_id", "text").mapInPandas(read, f"set_id bigint, {column} array<bigint>")
 
-    return texts.select("set_id", "text").mapInPandas(read, "set_id bigint, shingles array<bigint>")
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, base: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets are similar enough."""
+    """Those of ``pairs`` (a, b) whose whole sets are similar enough.
+
+    Parities come first: half of what sizes and differing bits leave is the most two sets can share,
+    so pairs short of the overlap needed go without their sets being moved.
+    """
     pairs = stored(pairs, "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sets = stored(_whole_sets(docs, base, nodes, words), "whole-sets")
+    chosen = stored(
+        base.join(_nodes(pairs), "set_id", "left_semi")
+        .groupBy("set_id", "size")
+        .agg(F.min(F.struct("doc_id", "key")).alias("d"))
+        .select("set_id", "size", F.col("d.doc_id").alias("chosen"), F.col("d.key").alias("chosen_key")),
+        "chosen-documents",
+    )
+    bits = stored(
+        _read_again(docs, chosen, words, "bits", parities).join(chosen.select("set_id", "size"), "set_id"), "parities"
+    )
+    a = bits.select(F.col("set_id").alias("a"), F.col("bits").alias("p"), F.col("size").alias("m"))
+    b = bits.select(F.col("set_id").alias("b"), F.col("bits").alias("q"), F.col("size").alias("n"))
+    apart = F.aggregate(F.zip_with("p", "q", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    most = F.floor((F.col("m") + F.col("n") - apart) / 2)
+    near = stored(
+        pairs.join(a, "a").join(b, "b").where((100 + percent) * most >= percent * (F.col("m") + F.col("n"))).select("a", "b").distinct(),
+        "near-pairs",
+    )
+    left = stored(chosen.join(_nodes(near), "set_id", "left_semi"), "near-documents")
+    sets = stored(_read_again(docs, left, words, "shingles", lambda s: s.view(np.int64)), "whole-sets")
     a = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     b = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     alike = 100 * both >= percent * (F.size("x") + F.size("y") - both)
-    return stored(pairs.join(a, "a").join(b, "b").where(alike).select("a", "b"), "links")
+    return stored(near.join(a, "a").join(b, "b").where(alike).select("a", "b").distinct(), "links")
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -166,7 +194,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     width = math.log(100 / (percent - 1))
     index = stored(_postings(docs, frequent, words, percent), "index")
     lists = index.groupBy("token").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most")
-    lists = small_side(stored(lists.select("token"), "shared-shingles"), 16)
+    lists = small_side(stored(lists.select("token"), "shared-shingles"), 48)
     index = (
         index.join(lists, "token")
         .distinct()
