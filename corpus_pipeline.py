@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm.common import small_side, stored, table, text_key
+from headrace.llm.common import modest_batches, small_side, stored, table, text_key
 from headrace.llm.decontaminate import decontaminate
 from headrace.llm.jaccard_join import groups
 from headrace.llm.labelled import fold
@@ -42,6 +42,7 @@ def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat an id are one document.
     """
+    modest_batches(spark)
     docs = docs.select(COLUMNS)
     others = groups(docs).where("n_shingles > 0 and doc_id <> component_id").select("doc_id", "key").distinct()
     kept = _among(docs, others, "left_anti")
@@ -54,6 +55,7 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Bytes of characters that a cut went through are left out.
     """
+    modest_batches(spark)
     rest = docs.select(row_print().alias("rid"), "lang", "source").dropDuplicates(["rid"])
     cut = deduplicate(docs.select("doc_id", "text"))
     return (
@@ -74,6 +76,7 @@ def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
+    modest_batches(spark)
     return pack(docs, tokenizer_path(PACKING_TOKENIZER))
 
 

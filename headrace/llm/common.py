@@ -11,9 +11,16 @@ from headrace.session import scratch
 
 # Tables up to this many bytes, counted after they were written, may be broadcast.
 BROADCAST_BYTES = 32 << 20
+BATCH_ROWS = 1024
+
+
+def modest_batches(spark) -> None:
+    """Rows reach Python at most this many at a time: whole texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    modest_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
