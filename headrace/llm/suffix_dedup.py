@@ -30,7 +30,7 @@ from headrace.llm.common import stored
 from headrace.llm.induced_sort import equal_windows
 
 WINDOW = 50
-PART_BYTES = 2 << 20  # bytes of text for each part of the prints
+PART_BYTES = 1 << 20  # bytes of text for each part of the prints
 CHUNK_BYTES = 8 << 20  # bytes of text packed together by a worker
 NO_ID = -(2**63)  # stands for a null id: smaller than all others
 

@@ -40,9 +40,9 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, coded), np.int64, len(coded))
     owner = np.repeat(np.arange(len(words)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(raw))  # bytes to the word's end
-    found, owners = [], []
+    found, owners = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     mixed = raw.copy()
-    for n in range(2, max(LENGTHS) + 1):
+    for n in range(2, min(max(LENGTHS), len(raw)) + 1):
         mixed[: len(raw) - n + 1] = mixed[: len(raw) - n + 1] * np.uint32(0x01000193) + raw[n - 1 :]
         if n in LENGTHS:
             inside = np.flatnonzero(left >= n)
