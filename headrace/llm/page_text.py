@@ -290,18 +290,16 @@ def main_texts(model: Labeller, pages: list[str]) -> list[str]:
 def extract(pages: DataFrame, fitted_pages: int = FITTED_PAGES) -> DataFrame:
     """``pages`` with ``text``, the main text of ``html``: its blocks joined by an empty line.
 
-    The network is fitted on at most ``fitted_pages`` pages, those whose addresses have the smallest
+    The network is fitted on at most ``fitted_pages`` pages, those whose texts have the smallest
     hashes; all pages are labelled. A page without main text, without blocks, empty or null, has an
     empty text. Repeated rows get the same text. Other columns are kept, but for one named ``text``,
     which is replaced. An empty table stays empty.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    few = (
-        pages.select(html.alias("html"))
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(fitted_pages)
-        .toPandas()["html"]
-    )
+    # hashes first, so that a task only gives the driver numbers; then their pages
+    hashes = pages.select(F.xxhash64(html).alias("h")).distinct().orderBy("h").limit(fitted_pages)
+    chosen = pages.select(html.alias("html"), F.xxhash64(html).alias("h")).join(F.broadcast(hashes), "h")
+    few = chosen.dropDuplicates(["h"]).toPandas().sort_values("h")["html"]
     model = fit(list(few))
 
     @F.pandas_udf("string")
