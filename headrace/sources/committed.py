@@ -37,10 +37,6 @@ RECORD = (
     .add("files", T.ArrayType(T.StringType()))
 )
 RECORD_KEY = "record"
-# Beyond this many versions a range is read by a partition filter instead of a list of directories.
-LISTED_VERSIONS = 1000
-
-
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -92,11 +88,12 @@ class CommittedTable:
         """One row per commit."""
         return read_records(self.spark, self.records, RECORD).withColumnRenamed(RECORD_KEY, VERSION)
 
-    def _newest_rows(self, upto: int | None, n: int) -> list[Row]:
+    def _newest_rows(self, upto: int | None, n: int | None = None) -> list[Row]:
         log = self.log().select(VERSION, "base", "row_count", "schema", "details")
         if upto is not None:
             log = log.where(F.col(VERSION) <= upto)
-        return log.orderBy(F.desc(VERSION)).limit(n).collect()
+        log = log.orderBy(F.desc(VERSION))
+        return (log if n is None else log.limit(n)).collect()
 
     def latest(self, version: int | None = None) -> Commit | None:
         """The newest commit, or the newest one up to a version."""
@@ -169,7 +166,7 @@ class CommittedTable:
 
     def scan(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """Rows of the commits first..last, both included, with their version and commit time."""
-        rows = self._newest_rows(last, LISTED_VERSIONS + 1)
+        rows = self._newest_rows(last)
         if not rows:
             return no_rows(self.spark, _stored(T.StructType()))
         newest = Commit.of(rows[0])
@@ -178,9 +175,8 @@ class CommittedTable:
         reader = self.spark.read.schema(schema).option("basePath", self.data)
         if low > newest.version:
             return no_rows(self.spark, schema)
-        if len(rows) > LISTED_VERSIONS and low <= rows[-1][VERSION]:
-            return reader.parquet(self.data).where(F.col(VERSION).between(low, newest.version))
-        # Naming the directories spares listing those of all other versions.
+        # Only recorded directories are named, at any number of versions: what an attempt left that
+        # was given up is never read, and other versions are not listed.
         return reader.parquet(*(f"{self.data}/{VERSION}={r[VERSION]}" for r in rows if r[VERSION] >= low))
 
     def only(self, commit: Commit) -> DataFrame:

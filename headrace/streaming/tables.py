@@ -19,7 +19,8 @@ class StreamToTable:
 
     Each step stores under the micro-batch id and replaces what an interrupted attempt left, so a
     repeated micro-batch changes nothing. Steps after the first read the stored rows and do not parse
-    the messages again.
+    the messages again. Unreadable messages go to ``rejects``; without that table they stop the
+    stream, so none is lost.
     """
 
     def __init__(
@@ -41,8 +42,10 @@ class StreamToTable:
         declared, all_readable = envelope.survey(messages)
         columns = declared or self.table.columns()
         rows = envelope.decode(messages, columns).toDF(*lowered(columns))
+        if self.rejects is None and not all_readable:
+            raise ValueError("unreadable messages, and no table is given to set them aside in")
         stored = self.table.commit(rows, batch_id)
-        if self.rejects is not None and not all_readable:
+        if not all_readable:
             self.rejects.commit(envelope.rejects(messages), batch_id)
         if self.serving is not None:
             added = self.serving.append_stream(self.table, stored)

@@ -115,6 +115,7 @@ ORACLE["envelope_rejects"] = """
 SELECT 'not json ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_type = 'error'"""
 ORACLE["stream_passthrough"] = "SELECT * FROM events"
 ORACLE["stream_to_table"] = ORACLE["envelope_decode"]
+ORACLE["stream_rejects"] = ORACLE["envelope_rejects"]
 
 ORACLE["changelog_autosync"] = f"""
 SELECT 'c' AS op, CAST(NULL AS VARCHAR) AS before, CAST(o_orderkey AS VARCHAR) AS o_orderkey,

@@ -292,17 +292,24 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages through one topic to the next and into a table; unreadable ones are set aside."""
-    return _streamed_to_table(spark, _message_topic(spark, sf_dir))
+    return _streamed_to_table(spark, _message_topic(spark, sf_dir))[0]
 
 
-def _streamed_to_table(spark: SparkSession, first: str) -> DataFrame:
+@registered
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that the same stream set aside."""
+    return _streamed_to_table(spark, _message_topic(spark, sf_dir))[1]
+
+
+def _streamed_to_table(spark: SparkSession, first: str) -> tuple[DataFrame, DataFrame]:
     second = scratch(spark, "topic")
     copied = topics.folder_sink(topics.folder_source(spark, first), second)
     topics.pass_through(copied, scratch(spark, "checkpoint"), once=True)
     stored = CommittedTable(spark, scratch(spark, "stream"))
-    sink = table_sink(topics.folder_source(spark, second), StreamToTable(stored))
+    rejects = CommittedTable(spark, scratch(spark, "rejects"))
+    sink = table_sink(topics.folder_source(spark, second), StreamToTable(stored, rejects=rejects))
     topics.run(sink, scratch(spark, "checkpoint"), once=True)
-    return stored.read()
+    return stored.read(), rejects.read()
 
 
 def _followed_view(spark: SparkSession, sf_dir: str) -> LambdaView:
@@ -415,7 +422,7 @@ def synthetic_trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same trips sent as messages, from topic to topic and into the stream table."""
     topic = scratch(spark, "topic")
     messages(table(spark, sf_dir, "events"), "event_id", "ts", seed=42).write.parquet(topic)
-    return _streamed_to_table(spark, topic)
+    return _streamed_to_table(spark, topic)[0]
 
 
 @registered
