@@ -70,7 +70,8 @@ def words(text: np.ndarray) -> np.ndarray:
     padded = np.concatenate([text, np.zeros(7, np.uint8)])
     out = np.zeros(len(text), np.uint64)
     for i in range(8):
-        out |= padded[i : i + len(text)].astype(np.uint64) << np.uint64(56 - 8 * i)
+        out <<= np.uint64(8)
+        out |= padded[i : i + len(text)]
     return out
 
 
@@ -195,8 +196,8 @@ def equal_windows(text: np.ndarray, starts: np.ndarray, window: int, held: int =
     """A number for each start's ``window`` bytes, the same exactly for equal ones; starts ascend."""
     if not len(starts):
         return np.zeros(0, np.int64)
-    place = np.full(len(text), -1, np.int64)
-    place[starts] = np.arange(len(starts))
+    place = np.full(len(text), -1, np.int32)
+    place[starts] = np.arange(len(starts), dtype=np.int32)
     order = place[suffix_order(text, window, held)]
     order = order[order >= 0]
     word, at = words(text), starts[order]

@@ -32,6 +32,7 @@ from headrace.llm.induced_sort import equal_windows
 WINDOW = 50
 PART_BYTES = 1 << 20  # bytes of text for each part of the prints
 CHUNK_BYTES = 8 << 20  # bytes of text packed together by a worker
+PLACES_AT_ONCE = 20_000
 NO_ID = -(2**63)  # stands for a null id: smaller than all others
 
 
@@ -213,19 +214,27 @@ def _marked(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     windows = sizes - window + 1
     offset = np.cumsum(windows) - windows  # of a context's first window
     inside = np.arange(windows.sum()) - np.repeat(offset, windows)
-    string = equal_windows(text, np.repeat(np.cumsum(sizes) - sizes, windows) + inside, window)
+    inside += np.repeat(np.cumsum(sizes) - sizes, windows)
+    string = equal_windows(text, inside, window)
+    del inside, known
     least = np.full(int(string.max()) + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, string, np.repeat(smallest, windows))
     least = least[string]
 
-    # back to every place a context occurs at
-    n = windows[which]
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    marked = least[np.repeat(offset[which], n) + inside] < np.repeat(ids, n)
-    owner, place = np.repeat(rids, n)[marked], (np.repeat(first, n) + inside)[marked]
+    # back to every place a context occurs at, some at a time: a hot anchor has very many
+    owners, places = [], []
+    for at in range(0, len(which), PLACES_AT_ONCE):
+        here = slice(at, at + PLACES_AT_ONCE)
+        n = windows[which[here]]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        marked = least[np.repeat(offset[which[here]], n) + inside] < np.repeat(ids[here], n)
+        owners.append(np.repeat(rids[here], n)[marked])
+        places.append((np.repeat(first[here], n) + inside)[marked].astype(np.uint32))
+    owner, place = np.concatenate(owners), np.concatenate(places)
+    del string, least, which, text
     order = np.lexsort((place, owner))
     owner, place = owner[order], place[order]
-    breaks = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+    breaks = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + np.uint32(1))
     at = _runs_of(np.append(0, np.cumsum(breaks)) if len(owner) else owner)
     begin, end = np.array([a for a, _ in at], np.int64), np.array([b - 1 for _, b in at], np.int64)
     runs = np.stack([place[begin], place[end]], axis=1).astype(np.uint32)
