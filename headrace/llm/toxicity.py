@@ -87,33 +87,38 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> Subwords:
     if len(set(labels.tolist())) < 2:
         return Subwords(np.zeros(BUCKETS), 4.0 if len(labels) and labels[0] == 1 else -4.0)
     # the sample as a sparse matrix: share of each bucket among a document's n-grams
-    split = [t.lower().split() for t in texts]
     draw = np.random.Generator(np.random.PCG64(seed))
-    clean = [words for words, y in zip(split, labels, strict=True) if y == 0 and words]
+    vocabulary: dict[str, int] = {}
+    split = [
+        np.array([vocabulary.setdefault(w, len(vocabulary)) for w in t.lower().split()], np.int32) for t in texts
+    ]
+    clean = [words for words, y in zip(split, labels, strict=True) if y == 0 and len(words)]
     for words in clean * CLIPPINGS:  # short clean texts, in which a chance n-gram weighs most
         at, n = int(draw.integers(0, len(words))), int(draw.integers(1, 40))
         split.append(words[at : at + n])
     labels = np.append(labels, np.zeros(len(split) - len(labels), np.int64))
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words in split for w in words))}
     buckets, owners = grams(list(vocabulary))
-    order = np.argsort(owners, kind="stable")
-    buckets, ends = buckets[order], np.cumsum(np.bincount(owners, minlength=len(vocabulary)))
-    rows, cols, shares = [], [], []
-    for i, words in enumerate(split):
-        ids, times = np.unique(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)), return_counts=True)
+    buckets, ends = (
+        buckets[np.argsort(owners, kind="stable")].astype(np.int32),
+        np.cumsum(np.bincount(owners, minlength=len(vocabulary))),
+    )
+    del owners, vocabulary
+    cols, shares = [], []
+    for words in split:
+        ids, times = np.unique(words, return_counts=True)
         lengths = ends[ids] - np.where(ids > 0, ends[ids - 1], 0)
         at = np.repeat(ends[ids] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
         counts = np.bincount(buckets[at], np.repeat(times, lengths), BUCKETS)
         held = np.flatnonzero(counts)
-        rows.append(np.full(len(held), i, np.int32))
         cols.append(held.astype(np.int32))
         shares.append((counts[held] / max(counts.sum(), 1)).astype(np.float32))
-    rows, cols, shares = np.concatenate(rows), np.concatenate(cols), np.concatenate(shares)
+    first = np.append(0, np.cumsum([len(c) for c in cols]))
+    cols = np.concatenate(cols)
+    shares = np.concatenate(shares)
 
     vectors, layer = draw.normal(0, 0.05, (BUCKETS, WIDTH)), draw.normal(0, 0.3, (WIDTH, 2))
     bias = np.array([CLEAN_BIAS, -CLEAN_BIAS])
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, layer, bias)]
-    first = np.searchsorted(rows, np.arange(len(split) + 1))
     steps = EPOCHS * -(-len(split) // BATCH)
     queue = np.concatenate([draw.permutation(len(split)) for _ in range(EPOCHS + 1)])
     for t in range(1, steps + 1):
