@@ -94,18 +94,17 @@ def _samples(kind: np.ndarray) -> np.ndarray:
     more = (gaps - 1) // STEP  # samples in between, where two are far apart
     at = np.repeat(bounds[:-1], more)
     place = np.arange(len(at)) - np.repeat(np.cumsum(more) - more, more)
-    return np.unique(np.concatenate([lms, at + (place + 1) * STEP]))
+    chosen = np.zeros(len(kind), bool)
+    chosen[lms] = chosen[at + (place + 1) * STEP] = True
+    return np.flatnonzero(chosen)
 
 
-def _ranked(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of tuples, the first key counting most."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        key = key[order]
-        new[1:] |= key[1:] != key[:-1]
+def _ranked(key: np.ndarray) -> np.ndarray:
+    """Dense ranks."""
+    order = np.argsort(key)
+    key = key[order]
     out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new)
+    out[order] = np.cumsum(np.append(False, key[1:] != key[:-1])[: len(key)])
     return out
 
 
@@ -113,20 +112,17 @@ def _sample_ranks(word: np.ndarray, samples: np.ndarray, depth: int) -> np.ndarr
     """Ranks of the samples' suffixes; ties have a common prefix of ``depth`` or more bytes."""
     n = len(samples)
     following = np.append(samples[1:], len(word) + STEP)
-    rank = _ranked(word[samples], -np.minimum(following - samples, STEP + 1))
+    rank = _ranked(_ranked(word[samples]) * (STEP + 2) - np.minimum(following - samples, STEP + 1))
     reach = 1  # samples that a rank stands for
     while n:
         # common-prefix values: what equal ranks are sure to share, in bytes
         shared = np.append(samples, np.full(reach, len(word) + depth))[reach : reach + n] - samples
-        order = np.argsort(rank, kind="stable")
-        tied = np.zeros(n, bool)
-        same = rank[order][1:] == rank[order][:-1]
-        tied[order[1:][same]] = tied[order[:-1][same]] = True
+        tied = np.bincount(rank)[rank] > 1
         open_ = tied & (shared < depth)
         if not open_.any():
             return rank
         later = np.append(rank + 1, np.zeros(reach, np.int64))[reach : reach + n]
-        rank = _ranked(rank, np.where(open_, later, 0))
+        rank = _ranked(rank * (n + 1) + np.where(open_, later, 0))
         reach *= 2
     return rank
 
@@ -156,7 +152,7 @@ def suffix_order(text: np.ndarray, depth: int, held: int = HELD) -> np.ndarray:
     kind = suffix_types(text)
     samples = _samples(kind)
     ranks = _sample_ranks(words(text), samples, depth)
-    chosen = samples[np.argsort(ranks, kind="stable")]
+    chosen = samples[np.argsort(ranks)]
     is_lms = kind[chosen] & (chosen > 0)
     is_lms[is_lms] &= ~kind[chosen[is_lms] - 1]
     lms = chosen[is_lms].astype(np.int32)

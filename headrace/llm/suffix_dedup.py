@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm.anchors import GRAM, anchors, gram_prints
+from headrace.llm.anchors import GRAM, anchors
 from headrace.llm.common import stored
 from headrace.llm.induced_sort import equal_windows
 
@@ -60,32 +60,15 @@ def _by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _part_of(prints: np.ndarray, parts: int) -> np.ndarray:
-    return ((prints >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
-def _sides(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Two bytes each of a print of the gram and the one before, and of it and the one after it.
-
-    Windows hold one or the other whole, if a window is at least three grams long, less a byte.
-    """
-    gram = gram_prints(raw)
-    out = np.zeros((len(place), 2), np.uint16)
-    for side, step in enumerate((-GRAM, GRAM)):
-        there = place + step
-        good = (there >= 0) & (there < len(gram))
-        mixed = gram[place[good]] * np.uint64(3) + gram[there[good]]
-        out[good, side] = (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.uint16)
-        out[~good, side] = np.arange(int((~good).sum())) & 0xFFFF  # no such gram: meets by chance only
-    return out
+    """Evenly: anchors have small prints, so the upper bits as they are would favour the first parts."""
+    mixed = (prints ^ (prints >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, raws in _chunks(batches):
-            found = [anchors(raw, window) for raw in raws]
-            owner = np.repeat(np.arange(len(raws)), [len(f[0]) for f in found])
-            prints, place = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-            sides = np.concatenate([_sides(raw, f[1]) for raw, f in zip(raws, found, strict=True) if len(f[1])] or [np.zeros((0, 2), np.uint16)])
+            owner, prints, place, _, _, sides = anchors(raws, window)
             rids, ids = rows["rid"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
             out = []
             for part, at in _by_part(_part_of(prints, parts)):
@@ -151,19 +134,16 @@ def _contexts(docs: DataFrame, parts: int, window: int) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, raws in _chunks(batches):
-            prints, owner, first, last = [], [], [], []
-            for i, (raw, packed) in enumerate(zip(raws, rows["places"], strict=True)):
-                if packed is None:
-                    continue
-                h, place, begin, end = anchors(raw, window)
-                wanted = np.isin(place, np.concatenate([np.frombuffer(p, np.uint32) for p in packed]))
-                prints.append(h[wanted])
-                first.append(begin[wanted])
-                last.append(end[wanted])
-                owner.append(np.full(int(wanted.sum()), i))
-            if not prints:
+            asked = [i for i, packed in enumerate(rows["places"]) if packed is not None]
+            if not asked:
                 continue
-            prints, owner, first, last = map(np.concatenate, (prints, owner, first, last))
+            rows, raws = rows.iloc[asked], [raws[i] for i in asked]
+            owner, prints, place, first, last, _ = anchors(raws, window)
+            wanted = [np.concatenate([np.frombuffer(p, np.uint32) for p in packed]).astype(np.int64) for packed in rows["places"]]
+            # one number for text and place
+            key = np.concatenate([w + (i << 32) for i, w in enumerate(wanted)])
+            at = np.flatnonzero(np.isin(place + (owner << 32), key))
+            prints, owner, first, last = prints[at], owner[at], first[at], last[at]
             rids, ids = rows["rid"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
             out = []
             for part, at in _by_part(_part_of(prints, parts)):

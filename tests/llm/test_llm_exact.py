@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headrace.llm import sharding
+from headrace.llm.anchors import anchors
 from headrace.llm.common import table
 from headrace.llm.components import components
 from headrace.llm.decontaminate import decontaminate
@@ -15,7 +16,7 @@ from headrace.llm.induced_sort import equal_windows, suffix_order
 from headrace.llm.jaccard_join import groups
 from headrace.llm.packing import Bins, cut_lengths, pack
 from headrace.llm.queries import QUERIES, tokenizer_path
-from headrace.llm.suffix_dedup import deduplicate
+from headrace.llm.suffix_dedup import _part_of, deduplicate
 from headrace.llm.token_counts import count_tokens
 from headrace.llm.topk import top_k, whole_vectors
 
@@ -123,6 +124,22 @@ def test_suffixes_are_sorted_to_their_depth():
         assert len(set(names.values())) == len(names) and all(names[raw[i : i + depth]] == n for i, n in zip(starts, numbers, strict=True))
 
 
+def test_equal_windows_have_their_anchor_at_one_place():
+    rng, seen = np.random.default_rng(3), {}
+    for _ in range(100):
+        parts = [rng.integers(97, 99, int(rng.integers(0, 30))), np.full(37, 46), [97, 98], np.full(int(rng.integers(20, 90)), 45)]
+        raw = np.concatenate(parts).astype(np.uint8)
+        found = anchors([raw[:20], raw, raw[:0], raw], 50)
+        covers = []
+        for owner, place, first, last in zip(found.owner, found.place, found.first, found.last, strict=True):
+            for w in range(first, last + 1):
+                assert seen.setdefault(raw[w : w + 50].tobytes(), place - w) == place - w
+                covers.append((owner, w))
+        assert covers == [(i, w) for i in (1, 3) for w in range(len(raw) - 49)]
+    parts = np.bincount(_part_of(np.sort(rng.integers(0, 1 << 58, 20_000)).astype(np.uint64), 10))
+    assert parts.max() < 1.2 * parts.min()
+
+
 def _removed(rows):
     out, order = {}, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     first = {}
@@ -141,6 +158,8 @@ def _removed(rows):
 def test_repeated_strings_are_cut(spark, edge):
     docs = [tuple(r) for r in table(spark, SMALL, "documents").select("doc_id", "text").limit(120).collect()]
     rows = [(d + 1000, t) for d, t in docs] + [(d, t) for d, t, *_ in EDGE]
+    # equal windows with runs of one byte, at places that differ
+    rows += [(5000 + k, "x" * (7 * k) + "." * (20 + k % 9) + "ab" + "-" * 27 + "cd" * (k % 5) + "z" * k) for k in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rid", F.lit("clash"))
     want = _removed(rows)
     got = deduplicate(df).collect()
