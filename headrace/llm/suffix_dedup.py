@@ -30,7 +30,7 @@ from headrace.llm.common import stored
 from headrace.llm.induced_sort import equal_windows
 
 WINDOW = 50
-PART_BYTES = 1 << 20  # bytes of text for each part of the prints
+PART_BYTES = 2 << 20  # bytes of text for each part of the prints
 CHUNK_BYTES = 8 << 20  # bytes of text packed together by a worker
 PLACES_AT_ONCE = 20_000
 NO_ID = -(2**63)  # stands for a null id: smaller than all others
@@ -69,7 +69,7 @@ def _entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, raws in _chunks(batches):
             owner, prints, place, _, _, sides = anchors(raws, window)
-            rids, ids = rows["rid"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
+            rids = rows["rid"].to_numpy(np.int64)
             out = []
             for part, at in _by_part(_part_of(prints, parts)):
                 docs_here, counts = np.unique(owner[at], return_counts=True)
@@ -78,7 +78,6 @@ def _entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
                     {
                         "part": part,
                         "rids": rids[docs_here].tobytes(),
-                        "ids": ids[docs_here].tobytes(),
                         "counts": counts.astype(np.uint32).tobytes(),
                         "prints": np.ascontiguousarray(prints[at].view(np.uint8).reshape(-1, 8)[:, :5]).tobytes(),
                         "sides": sides[at].tobytes(),
@@ -88,19 +87,20 @@ def _entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(out)
 
-    return docs.select("rid", "id", "text").mapInPandas(
-        read,
-        "part bigint, rids binary, ids binary, counts binary, prints binary, sides binary, places binary",
+    return docs.select("rid", "text").mapInPandas(
+        read, "part bigint, rids binary, counts binary, prints binary, sides binary, places binary"
     )
 
 
 def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
-    """(rid, places): anchors whose print and one side occur in another document too."""
-    kept = {"rids": [], "ids": [], "prints": [], "sides": [], "places": []}
+    """(rid, places): anchors whose print and one side occur in another row too.
+
+    Whether that is a document with another id is seen when the windows themselves are compared.
+    """
+    kept = {"rids": [], "prints": [], "sides": [], "places": []}
     for row in rows.itertuples(index=False):
         counts = np.frombuffer(row.counts, np.uint32)
         kept["rids"].append(np.repeat(np.frombuffer(row.rids, np.int64), counts))
-        kept["ids"].append(np.repeat(np.frombuffer(row.ids, np.int64), counts))
         five = np.frombuffer(row.prints, np.uint8).reshape(-1, 5)
         whole = np.zeros((len(five), 8), np.uint8)
         whole[:, :5] = five
@@ -108,14 +108,14 @@ def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
         kept["sides"].append(np.frombuffer(row.sides, np.uint16).reshape(-1, 2))
         steps = np.ascontiguousarray(np.frombuffer(row.places, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
         kept["places"].append(np.cumsum(steps, dtype=np.int64))
-    rids, ids, prints, places = (np.concatenate(kept[k]) for k in ("rids", "ids", "prints", "places"))
+    rids, prints, places = (np.concatenate(kept[k]) for k in ("rids", "prints", "places"))
     sides = np.concatenate(kept["sides"])
     repeated = np.zeros(len(rids), bool)
     for side in (0, 1):
         key = prints << np.uint64(16) | sides[:, side].astype(np.uint64)
         order = np.argsort(key, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
-        own = ids[order]
+        own = rids[order]
         several = np.minimum.reduceat(own, starts) < np.maximum.reduceat(own, starts)
         repeated[order] |= np.repeat(several, np.diff(np.append(starts, len(own))))
     at = np.flatnonzero(repeated)
