@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,20 +98,27 @@ class ServingTable:
         schema = serving_schema(batch_columns, stream_columns)
         empty = no_rows(self.spark, schema)
         self.snapshots.commit(
-            empty, replace=True, details=self._details(batch_columns, stream_through=NONE)
+            empty, replace=True, details=self._details(batch_columns, stream_columns, NONE)
         )
 
-    def merge(self, batch: DataFrame | CommittedTable, stream: DataFrame | CommittedTable) -> DataFrame:
+    def merge(
+        self,
+        batch: DataFrame | CommittedTable,
+        stream: DataFrame | CommittedTable,
+        notes: Mapping[str, str] | None = None,
+    ) -> DataFrame:
         """Rebuild from both inputs and return one row: status, counts and seconds.
 
         A committed table is numbered where it lies. Any other frame is stored first, because ids
         are counted from stored rows; as the stream side it stands for all the stream has delivered
-        so far. On an error nothing changes but the log, and the row says FAILED.
+        so far. A committed table without commits adds no rows; its columns are those it was last
+        declared or merged with, or else the other side's. ``notes`` are kept with the snapshot. On an
+        error nothing changes but the log, and the row says FAILED.
         """
         run = self._next_run()
         started = time.monotonic()
         try:
-            counts = self._write_snapshot(batch, stream)
+            counts = self._write_snapshot(batch, stream, notes or {})
             result = (SUCCESS, counts[BATCH], counts[STREAM], counts[BATCH] + counts[STREAM])
         except Exception as error:
             failed = f"FAILED: {error}"
@@ -125,28 +132,40 @@ class ServingTable:
         write_record(self.spark, self.log_location, run, MERGE_LOG, utc_now(), *values)
 
     def _write_snapshot(
-        self, batch: DataFrame | CommittedTable, stream: DataFrame | CommittedTable
+        self, batch: DataFrame | CommittedTable, stream: DataFrame | CommittedTable, notes: Mapping[str, str]
     ) -> dict[str, int]:
         through = stream.last_version() if isinstance(stream, CommittedTable) else self.live.last_version()
         scans = {BATCH: self._stored(batch), STREAM: self._stored(stream, through)}
-        schema = serving_schema(scans[BATCH].columns, scans[STREAM].columns)
-        common = common_columns(scans[BATCH].columns, scans[STREAM].columns)
+        columns = self._columns(scans)
+        schema = serving_schema(columns[BATCH], columns[STREAM])
+        common = common_columns(columns[BATCH], columns[STREAM])
         if not common:
             raise ValueError("no common columns")
         narrow = {
             origin: scan.select(*(field(name).cast("string").alias(name) for name in common))
             for origin, scan in scans.items()
+            if scan.columns
         }
         numbered, counts = number_rows(narrow)
         # One directory per origin, written apart: no sort, and a filter on origin reads one of them.
         # Columns of one side only are null for every row; the schema supplies them without storage.
+        parts = {f"{ORIGIN}={origin}": rows for origin, rows in numbered.items()}
         self.snapshots.commit(
-            {f"{ORIGIN}={origin}": rows for origin, rows in numbered.items()},
+            parts or no_rows(self.spark, schema),
             replace=True,
             schema=schema,
-            details=self._details(scans[BATCH].columns, through),
+            details={**notes, **self._details(columns[BATCH], columns[STREAM], through)},
         )
-        return counts
+        return {BATCH: 0, STREAM: 0, **counts}
+
+    def _columns(self, scans: Mapping[str, DataFrame]) -> dict[str, list[str]]:
+        """Both sides' columns; of a side that has none yet, those declared or the other side's."""
+        found = {origin: scan.columns for origin, scan in scans.items()}
+        if not all(found.values()):
+            last = self.snapshots.latest()
+            known = last.details if last else {}
+            found = {o: c or json.loads(known.get(f"{o}_columns", "[]")) for o, c in found.items()}
+        return {BATCH: found[BATCH] or found[STREAM], STREAM: found[STREAM] or found[BATCH]}
 
     def _stored(self, rows: DataFrame | CommittedTable, through: int | None = None) -> DataFrame:
         if not isinstance(rows, CommittedTable):
@@ -156,16 +175,20 @@ class ServingTable:
         return lowercase_columns(rows.read(through))
 
     @staticmethod
-    def _details(batch_columns: Sequence[str], stream_through: int) -> dict[str, str]:
+    def _details(
+        batch_columns: Sequence[str], stream_columns: Sequence[str], stream_through: int
+    ) -> dict[str, str]:
         return {
-            "batch_columns": json.dumps(list(batch_columns)),
+            f"{BATCH}_columns": json.dumps(list(batch_columns)),
+            f"{STREAM}_columns": json.dumps(list(stream_columns)),
             "stream_through": str(stream_through),
         }
 
     def append_stream(self, stream: CommittedTable, commit: Commit) -> DataFrame:
         """Copy one commit of the stream table to serving; repeating it replaces the copy.
 
-        Returns the appended rows as readers see them. Ids continue after all rows before them.
+        Returns the appended rows as readers see them. Ids continue after all rows before them; rows
+        of a commit that the snapshot reaches were numbered anew by the merge and come without ids.
         """
         snapshot = self.snapshots.latest()
         if snapshot is None:
@@ -177,11 +200,14 @@ class ServingTable:
             [T.StructField(ID, T.LongType()), *text_schema(common), T.StructField(ORIGIN, T.StringType())]
         )
         added = self.live.commit({f"{ORIGIN}={STREAM}": numbered[STREAM]}, commit.version, schema=schema)
-        # A commit the snapshot already reaches adds nothing.
         before = self._live_starts(snapshot).get(added.version)
-        if before is None:
-            return no_rows(self.spark, snapshot.schema)
-        return aligned(self.live.only(added).withColumn(ID, F.col(ID) + before), snapshot.schema)
+        number = F.lit(None).cast("long") if before is None else F.col(ID) + before
+        return aligned(self.live.only(added).withColumn(ID, number), snapshot.schema)
+
+    def reaches(self, commit: Commit) -> bool:
+        """Whether the newest snapshot holds this commit of the stream."""
+        snapshot = self.snapshots.latest()
+        return snapshot is not None and commit.version <= int(snapshot.details["stream_through"])
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -190,7 +216,19 @@ class ServingTable:
         snapshot = self.snapshots.latest()
         if snapshot is None:
             return self.snapshots.read()
-        rows, starts = self.snapshots.only(snapshot), self._live_starts(snapshot)
+        return self._served(snapshot, self._live_starts(snapshot))
+
+    def read_before(self, snapshot: Commit) -> DataFrame:
+        """The rows served before this snapshot, none if it is the first."""
+        previous = self.snapshots.latest(snapshot.version - 1)
+        if previous is None:
+            return no_rows(self.spark, snapshot.schema)
+        through = int(snapshot.details["stream_through"])
+        starts = {v: n for v, n in self._live_starts(previous).items() if v <= through}
+        return self._served(previous, starts)
+
+    def _served(self, snapshot: Commit, starts: Mapping[int, int]) -> DataFrame:
+        rows = self.snapshots.only(snapshot)
         if not starts:
             return rows
         # One entry per micro-batch since the last merge.

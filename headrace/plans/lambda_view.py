@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headrace.functions.columns import ID, aligned
 from headrace.operators.changelog import as_messages, keyed_changes, row_changes
 from headrace.operators.serving import SUCCESS, ServingTable
-from headrace.sources.committed import CommittedTable
+from headrace.sources.committed import VERSION, CommittedTable
 from headrace.streaming.tables import StreamToTable, table_sink
 from headrace.streaming.topics import run
 
+PUBLISH = "publish"  # kept with a snapshot: the keys its changes are published by
+
 
 class LambdaView:
     """The tables of one view under one folder: batch, stream, serving, rejects and changelogs."""
@@ -34,20 +38,33 @@ class LambdaView:
         )
         return run(table_sink(messages, step), f"{self.location}/checkpoint", once)
 
-    def rebuild(self, keys: Sequence[str] | None = None) -> DataFrame:
+    def rebuild(self, keys: Sequence[str] | None = ()) -> DataFrame:
         """Full merge of what both tables hold now.
 
-        With business keys (or an empty list for none) the difference to the rows served before goes
-        to ``rebuild_changelog``. Row ids restart with every merge, so they take no part in it.
+        The difference to the rows served before goes to ``rebuild_changelog`` under the snapshot's
+        version: by business keys if they are given, row by row without them, not at all for None.
+        What a rebuild that broke off has left out is made up for by the next one. Row ids restart
+        with every merge, so they take no part in it.
         """
-        before = self.serving.read()
-        result = self.serving.merge(self.batch, self.stream)
-        if keys is not None and result.first()["status"] == SUCCESS:
-            after = self.serving.read().drop(ID)
-            before = aligned(before, after.schema)
-            changes = keyed_changes(before, after, keys) if keys else row_changes(before, after)
-            self.rebuild_changelog.commit(as_messages(changes))
+        self._publish()
+        notes = {} if keys is None else {PUBLISH: json.dumps(list(keys))}
+        result = self.serving.merge(self.batch, self.stream, notes)
+        if result.first()["status"] == SUCCESS:
+            self._publish()
         return result
 
+    def _publish(self) -> None:
+        """Changes of all snapshots that are to be published and are not."""
+        missing = self.serving.snapshots.log().where(
+            (F.col(VERSION) > self.rebuild_changelog.last_version()) & F.col(f"details.{PUBLISH}").isNotNull()
+        )
+        for row in missing.select(VERSION).orderBy(VERSION).collect():
+            snapshot = self.serving.snapshots.latest(row[VERSION])
+            keys = json.loads(snapshot.details[PUBLISH])
+            after = self.serving.snapshots.only(snapshot).drop(ID)
+            before = aligned(self.serving.read_before(snapshot), after.schema)
+            changes = keyed_changes(before, after, keys) if keys else row_changes(before, after)
+            self.rebuild_changelog.commit(as_messages(changes), snapshot.version)
+
     def read(self) -> DataFrame:
         return self.serving.read()

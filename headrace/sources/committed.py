@@ -37,6 +37,8 @@ RECORD = (
     .add("files", T.ArrayType(T.StringType()))
 )
 RECORD_KEY = "record"
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -100,6 +102,10 @@ class CommittedTable:
         found = self._newest_rows(version, 1)
         return Commit.of(found[0]) if found else None
 
+    def has(self, version: int) -> bool:
+        found = self.latest(version)
+        return found is not None and found.version == version
+
     def last_version(self) -> int:
         """The newest committed version, -1 for a table that does not exist yet."""
         found = self.latest()

@@ -49,7 +49,9 @@ class StreamToTable:
             self.rejects.commit(envelope.rejects(messages), batch_id)
         if self.serving is not None:
             added = self.serving.append_stream(self.table, stored)
-            if self.changelog is not None:
+            # Events that are out already stay when a merge has taken up their rows since.
+            published = self.changelog is not None and self.serving.reaches(stored) and self.changelog.has(batch_id)
+            if self.changelog is not None and not published:
                 self.changelog.commit(as_messages(created(added)), batch_id)
         if self.also is not None:
             self.also(self.table.only(stored), batch_id)
