@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headrace.functions.columns import ORIGIN
+from headrace.functions.columns import ORIGIN, field
 from headrace.sources.committed import VERSION, CommittedTable
 
 SAMPLE_ROWS = 10
@@ -36,6 +38,6 @@ def table_report(table: CommittedTable) -> DataFrame:
     )
 
 
-def sample(table: CommittedTable, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A few rows to look at; which ones is not defined."""
-    return table.read().limit(rows)
+def sample(table: CommittedTable, by: Sequence[str], rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The first rows by the given columns, found by a top-n per task."""
+    return table.read().orderBy(*map(field, by)).limit(rows)

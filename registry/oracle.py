@@ -33,6 +33,7 @@ ORACLE["change_feed_first_run"] = (
 )
 ORACLE["pending_rows"] = f"SELECT * EXCLUDE (part) FROM {_PARTS} WHERE part > 0"
 ORACLE["export_append"] = f"SELECT * EXCLUDE (part) FROM {_PARTS}"
+ORACLE["lake_sample"] = f"SELECT * EXCLUDE (part) FROM {_PARTS} ORDER BY o_orderkey LIMIT 10"
 ORACLE["lake_row_count"] = f"SELECT count(*) AS row_count FROM {_PARTS}"
 ORACLE["lake_mixed_files"] = """
 SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
