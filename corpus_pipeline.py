@@ -38,16 +38,23 @@ def _among(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id; those without words all stay.
+    """Of each group of similar rows the one with the smallest id; those without words all stay.
 
-    Rows that repeat an id are one document.
+    A null id is the largest, and of rows with one id the text's fingerprint decides, then the other
+    columns. Rows are dropped for their group alone: different texts under one id, or none, all stay.
     """
     modest_batches(spark)
     docs = docs.select(COLUMNS)
-    others = groups(docs).where("n_shingles > 0 and doc_id <> component_id").select("doc_id", "key").distinct()
-    kept = _among(docs, others, "left_anti")
-    some, none = kept.where(r"text rlike '[^\\x20\\x09-\\x0D]'"), kept.where(r"not coalesce(text rlike '[^\\x20\\x09-\\x0D]', false)")
-    return some.dropDuplicates(["doc_id"]).unionByName(none)
+    rows = groups(docs).where("group_id is not null").groupBy("group_id", "doc_id", "key").agg(F.count("*").alias("n"))
+    rows = stored(rows, "group-rows")
+    first = rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    judged = rows.join(first, "group_id").where(~stays | (F.col("n") > 1)).select("doc_id", "key", stays.alias("stays"))
+    judged = stored(judged, "copies")
+    kept = _among(docs, judged.select("doc_id", "key"), "left_anti")
+    repeated = _among(docs, judged.where("stays").select("doc_id", "key"), "left_semi")
+    one_each = repeated.groupBy("doc_id", text_key(F.col("text"))).agg(F.min(F.struct(COLUMNS)).alias("row"))
+    return kept.unionByName(one_each.select("row.*"))
 
 
 def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -176,12 +176,13 @@ def _linked(pairs: DataFrame, docs: DataFrame, base: DataFrame, words: int, perc
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, key, n_shingles, component_id.
+    """One row per document: doc_id, key, n_shingles, component_id, group_id.
 
     ``component_id`` is the smallest doc_id that links lead to, the document's own included. Null and
     empty texts, and texts of white space, have no shingles and stand alone. Repeated rows are each
     returned; a null id takes part but names a group only if no other id is in it. An empty table
-    gives no rows; other columns are ignored. ``key`` tells texts with one id apart.
+    gives no rows; other columns are ignored. ``key`` tells texts with one id apart; ``group_id``, null
+    without shingles, tells groups apart whose ids are null or repeat.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -277,10 +278,11 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     smallest = one_each.select("set_id", "doc_id").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     named_groups = stored(smallest.join(final, "set_id"), "group-members")
     firsts = named_groups.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    by_set = named_groups.join(firsts, "group").select("set_id", "component_id")
+    by_set = named_groups.join(firsts, "group").select("set_id", "component_id", F.col("group").alias("group_id"))
     return base.join(by_set, "set_id", "left").select(
         "doc_id",
         "key",
         F.col("size").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "group_id",
     )
