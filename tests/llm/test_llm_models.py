@@ -109,3 +109,25 @@ def test_gradients_of_the_labeller():
         down = loss()
         p[at] = kept
         assert abs((up - down) / (2 * step) - g[at]) < 2e-4
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<html><head><title>t</title><meta charset=x><body><p>one<p>two", ["one", "two"]),
+        ("<head><style>a{}</style><link href=x><div>one</div></html>", ["one"]),
+        ("<head><meta charset=x>one<p>two", ["one", "two"]),
+        ("<head><noscript><img src=x>none</noscript></head><p>one", ["one"]),
+        ("<p>one</p><svg viewBox='0 0 1 1' /><p>two</p><svg><text>none</text></svg><p>three", ["one", "two", "three"]),
+        ("<svg><path d=x/><svg><g></g></svg><text>none</text></svg><p>one", ["one"]),
+        ("<div><svg><path d=x></div>one<svg><g><p>two</p>", ["one", "two"]),
+        ("<svg><title/><style/><desc>none</desc></svg><p>one</p>", ["one"]),
+        ("<div><object data=x/>none</div><p>one</p>", ["one"]),
+        ("<div>one<video src=x>none</div><p>two</p><audio src='x'/><p>three</p>", ["one", "two", "three"]),
+        ("<canvas><p>none</p></canvas><p>one <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two</p>", ["one x=2 two"]),
+        ("<div><template><p>none</div></template>one</div>", ["one"]),
+        ("<p>one<!--><p>two<script>if (a</b) '</p>'</script ><p>three<iframe><p>none", ["one", "two", "three"]),
+    ],
+)
+def test_unread_markup_ends_where_it_should(page, texts):
+    assert [b.text for b in blocks(page)] == texts
