@@ -9,10 +9,16 @@ smaller id. Three passes over the texts:
 2. *Sort.* The contexts of those anchors, just the bytes of the windows they stand for, are brought
    together by print, so equal windows meet. Each part's distinct contexts are one text whose
    suffixes are put in order by external induced sorting; neighbours that agree on a window's length
-   are one string, and its smallest document is known. Copies are one context with many
-   places, merged before the shuffle and again before the sort, so that they cost a place each.
+   are one string, and its smallest document is known. Bytes of copies are merged before the shuffle
+   and again before the sort; each place of a copy stays an entry of the part.
 3. *Removal.* Windows that a smaller document holds are marked in their texts.
 
+*Hot anchors*, which occur more than ``HOT`` times as far as an eighth of the rows tells, take no part
+in this. Their contexts and windows are rows: workers merge equal contexts of a chunk, and Spark sums up
+the smallest and the largest id of each context, then of each window, on the map side first. Places stay
+with their chunk and are joined to what their context was found to repeat, so no task holds all
+places of an anchor. Either way gives the same windows: hotness only decides how they meet.
+
 Parts are as many as the bytes ask for. Texts are shuffled once, by row; both joins use it.
 """
 
@@ -33,6 +39,9 @@ WINDOW = 50
 PART_BYTES = 2 << 20  # bytes of text for each part of the prints
 CHUNK_BYTES = 8 << 20  # bytes of text packed together by a worker
 PLACES_AT_ONCE = 20_000
+HOT = 2_000  # occurrences from which an anchor is hot; more where a table has more than as many MB
+SAMPLED = 8  # one row in so many is counted for that
+SALTS = 16
 NO_ID = -(2**63)  # stands for a null id: smaller than all others
 
 
@@ -65,10 +74,127 @@ def _part_of(prints: np.ndarray, parts: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
+def _packed_runs(owner: np.ndarray, place: np.ndarray) -> pd.DataFrame:
+    """(rid, runs): first and last of the consecutive windows of each row."""
+    order = np.lexsort((place, owner))
+    owner, place = owner[order], place[order]
+    breaks = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + np.uint32(1))
+    at = _runs_of(np.append(0, np.cumsum(breaks)) if len(owner) else owner)
+    begin, end = np.array([a for a, _ in at], np.int64), np.array([b - 1 for _, b in at], np.int64)
+    runs = np.stack([place[begin], place[end]], axis=1).astype(np.uint32)
+    own = owner[begin]
+    docs = _runs_of(own)
+    return pd.DataFrame(
+        {
+            "rid": own[[a for a, _ in docs]] if docs else np.zeros(0, np.int64),
+            "runs": [runs[a:b].tobytes() for a, b in docs],
+        }
+    )
+
+
+def _hot_prints(docs: DataFrame, least: int, window: int) -> np.ndarray:
+    """Prints of anchors with ``least`` occurrences or more among the rows given, sorted."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, raws in _chunks(batches):
+            prints, counts = np.unique(anchors(raws, window).prints, return_counts=True)
+            several = counts > 1 if least > 1 else counts > 0  # a hot one occurs twice in some chunk
+            yield pd.DataFrame({"print": prints[several].view(np.int64), "n": counts[several]})
+
+    counted = docs.select("rid", "text").mapInPandas(read, "print bigint, n bigint").groupBy("print").agg(F.sum("n").alias("n"))
+    found = [r["print"] for r in counted.where(F.col("n") >= least).collect()]
+    return np.sort(np.array(found, np.int64).view(np.uint64))
+
+
+def _among(prints: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(prints), bool)
+    return hot[np.minimum(np.searchsorted(hot, prints), len(hot) - 1)] == prints
+
+
+def _hot_runs(docs: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
+    """(rid, runs) for the windows of hot anchors, see ``_marked``."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, raws in _chunks(batches):
+            owner, prints, _, first, last, _ = anchors(raws, window)
+            at = np.flatnonzero(_among(prints, hot))
+            rids, ids = rows["rid"].to_numpy(np.int64), rows["id"].to_numpy(np.int64)
+            known: dict[bytes, int] = {}
+            which = np.array(
+                [known.setdefault(raws[owner[j]][first[j] : last[j] + window].tobytes(), len(known)) for j in at], np.int64
+            )
+            order = np.argsort(which, kind="stable")
+            at, texts = at[order], list(known)
+            out = []
+            for context, (a, b) in zip(texts, _runs_of(which[order]), strict=True):
+                here = at[a:b]
+                own = ids[owner[here]]
+                out.append(
+                    {
+                        "context": context,
+                        "low": int(own.min()),
+                        "high": int(own.max()),
+                        "rids": rids[owner[here]].tobytes(),
+                        "ids": own.tobytes(),
+                        "first": first[here].astype(np.uint32).tobytes(),
+                    }
+                )
+            if out:
+                yield pd.DataFrame(out)
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            owners, places, held = [], [], 0
+            for row in batch.itertuples(index=False):
+                found = np.frombuffer(row.found, ">i8").reshape(-1, 2)
+                place, low = found[:, 0].astype(np.uint32), found[:, 1].astype(np.int64)
+                rids, ids, first = (np.frombuffer(x, t) for x, t in ((row.rids, np.int64), (row.ids, np.int64), (row.first, np.uint32)))
+                for a in range(0, len(ids), PLACES_AT_ONCE):
+                    own, inside = np.nonzero(low[None, :] < ids[a : a + PLACES_AT_ONCE, None])
+                    owners.append(rids[a : a + PLACES_AT_ONCE][own])
+                    places.append(first[a : a + PLACES_AT_ONCE][own] + place[inside])
+                    held += len(own)
+                    if held > 50 * PLACES_AT_ONCE:
+                        yield _packed_runs(np.concatenate(owners), np.concatenate(places))
+                        owners, places, held = [], [], 0
+            if held:
+                yield _packed_runs(np.concatenate(owners), np.concatenate(places))
+
+    entries = stored(
+        docs.select("rid", "id", "text").mapInPandas(
+            read, "context binary, low bigint, high bigint, rids binary, ids binary, first binary"
+        ),
+        "hot-contexts",
+    )
+    contexts = entries.groupBy("context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    windows = stored(
+        contexts.select(F.posexplode(F.expr(f"transform(sequence(1, length(context) - {window - 1}), i -> substring(context, i, {window}))")).alias("at", "window"), "context", "low", "high"),
+        "hot-windows",
+    )
+    least = windows.groupBy("window").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most")
+    least = stored(least.select("window", "least"), "repeated-windows")
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    packed = F.expr("to_binary(concat(lpad(hex(cast(at as bigint)), 16, '0'), lpad(hex(least), 16, '0')), 'hex')")
+    found = (
+        windows.withColumn("salt", F.pmod(F.xxhash64("context"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["window", "salt"])
+        .where("least < high")
+        .groupBy("context")
+        .agg(F.sort_array(F.collect_list(packed)).alias("found"))
+        .select(F.col("context"), F.expr("aggregate(found, cast('' as binary), (x, y) -> concat(x, y))").alias("found"))
+    )
+    asked = entries.join(stored(found, "hot-found"), "context").select("rids", "ids", "first", "found")
+    return asked.mapInPandas(mark, "rid bigint, runs binary")
+
+
+def _entries(docs: DataFrame, parts: int, window: int, hot: np.ndarray) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, raws in _chunks(batches):
             owner, prints, place, _, _, sides = anchors(raws, window)
+            if len(hot):
+                cold = ~_among(prints, hot)
+                owner, prints, place, sides = owner[cold], prints[cold], place[cold], sides[cold]
             rids = rows["rid"].to_numpy(np.int64)
             out = []
             for part, at in _by_part(_part_of(prints, parts)):
@@ -212,20 +338,7 @@ def _marked(rows: pd.DataFrame, window: int) -> pd.DataFrame:
         places.append((np.repeat(first[here], n) + inside)[marked].astype(np.uint32))
     owner, place = np.concatenate(owners), np.concatenate(places)
     del string, least, which, text
-    order = np.lexsort((place, owner))
-    owner, place = owner[order], place[order]
-    breaks = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + np.uint32(1))
-    at = _runs_of(np.append(0, np.cumsum(breaks)) if len(owner) else owner)
-    begin, end = np.array([a for a, _ in at], np.int64), np.array([b - 1 for _, b in at], np.int64)
-    runs = np.stack([place[begin], place[end]], axis=1).astype(np.uint32)
-    own = owner[begin]
-    docs = _runs_of(own)
-    return pd.DataFrame(
-        {
-            "rid": own[[a for a, _ in docs]] if docs else np.zeros(0, np.int64),
-            "runs": [runs[a:b].tobytes() for a, b in docs],
-        }
-    )
+    return _packed_runs(owner, place)
 
 
 def covered(n: int, packed: list[bytes] | None, window: int) -> np.ndarray:
@@ -243,7 +356,7 @@ def row_print() -> Column:
     return F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull())
 
 
-def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """One row per document: rid, doc_id, kept (the remaining bytes), text, n_bytes, n_removed, n_spans.
 
     ``text`` is what remains without characters that a cut went through. Null texts count as empty
@@ -251,7 +364,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     nothing. Rows with the same doc_id do not affect each other, so repeated rows get the same
     result; a null id counts as smaller than all others. ``rid`` is a fingerprint of id and text. An
     empty table gives no rows; other columns are ignored. doc_id must be an integer.
-    ``window`` is at least three anchor grams long, less a byte.
+    ``window`` is at least three anchor grams long, less a byte. ``hot`` does not change the result.
     """
     if window < 3 * GRAM - 1:
         raise ValueError(f"windows must have at least {3 * GRAM - 1} bytes")
@@ -265,18 +378,19 @@ def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(tasks, -(-total // PART_BYTES))
 
-    entries = _entries(rows, parts, window).repartition(parts, "part").groupBy("part")
+    some = rows.where(F.pmod("rid", F.lit(SAMPLED)) == 0)
+    prints = _hot_prints(some, max(hot, total >> 20) // SAMPLED, window)
+
+    entries = _entries(rows, parts, window, prints).repartition(parts, "part").groupBy("part")
     places = stored(entries.applyInPandas(_repeated, "rid bigint, places binary"), "anchor-places")
     places = places.groupBy("rid").agg(F.collect_set("places").alias("places"))
 
     by_row = rows.repartition(tasks, "rid")
     contexts = _contexts(by_row.join(places, "rid", "left"), parts, window).repartition(parts, "part")
-    runs = (
-        contexts.groupBy("part")
-        .applyInPandas(lambda part: _marked(part, window), "rid bigint, runs binary")
-        .groupBy("rid")
-        .agg(F.collect_set("runs").alias("runs"))
-    )
+    runs = contexts.groupBy("part").applyInPandas(lambda part: _marked(part, window), "rid bigint, runs binary")
+    if len(prints):
+        runs = runs.unionByName(_hot_runs(rows, prints, window))
+    runs = runs.groupBy("rid").agg(F.collect_set("runs").alias("runs"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk, raws in _chunks(batches):

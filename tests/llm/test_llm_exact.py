@@ -173,6 +173,31 @@ def test_repeated_strings_are_cut(spark, edge):
     assert deduplicate(edge.limit(0)).count() == 0
 
 
+def test_hot_anchors_are_no_part_of_the_sort(spark, monkeypatch):
+    from headrace.llm import suffix_dedup
+
+    most = 100  # places of one anchor in a part; workers read this by the closure
+
+    def marked(part, window):
+        for print_places in part["which"]:
+            assert len(print_places) // 4 <= most
+        return suffix_dedup_marked(part, window)
+
+    suffix_dedup_marked = suffix_dedup._marked
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefgh \u00e9"))
+    passage = "".join(rng.choice(letters, 300))
+    rows = [(k if k % 7 else None, "".join(rng.choice(letters, 40 + k % 30)) + passage[k % 3 :] + "".join(rng.choice(letters, 60))) for k in range(400)]
+    rows += [(1000 + k, " " * (60 + k % 5) + passage[:90] * (1 + k % 2)) for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    monkeypatch.setattr(suffix_dedup, "_marked", marked)
+    want = _removed(rows)
+    got = deduplicate(df, hot=64).collect()
+    assert len(got) == len(rows)
+    text_of = {(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got}
+    assert text_of == {(d, *v) for (d, _), v in want.items()}
+
+
 def test_cut_lengths_and_bins():
     assert cut_lengths(4096 * 2 + 37, 4096) == [4096, 4096, 32, 4, 1]
     bins = Bins(0, 8)
