@@ -16,7 +16,7 @@ smaller id. Three passes over the texts:
 *Hot anchors*, which occur more than ``HOT`` times as far as an eighth of the rows tells, take no part
 in this. Their contexts and windows are rows: workers merge equal contexts of a chunk, and Spark sums up
 the smallest and the largest id of each context, then of each window, on the map side first. Places stay
-with their chunk and are joined to what their context was found to repeat, so no task holds all
+with their chunk, to which what their contexts were found to repeat is joined, so no task holds all
 places of an anchor. Either way gives the same windows: hotness only decides how they meet.
 
 Parts are as many as the bytes ask for. Texts are shuffled once, by row; both joins use it.
@@ -132,6 +132,7 @@ def _hot_runs(docs: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
                 own = ids[owner[here]]
                 out.append(
                     {
+                        "chunk": int(rids[0]),
                         "context": context,
                         "low": int(own.min()),
                         "high": int(own.max()),
@@ -143,27 +144,27 @@ def _hot_runs(docs: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(out)
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            owners, places, held = [], [], 0
-            for row in batch.itertuples(index=False):
-                found = np.frombuffer(row.found, ">i8").reshape(-1, 2)
-                place, low = found[:, 0].astype(np.uint32), found[:, 1].astype(np.int64)
-                rids, ids, first = (np.frombuffer(x, t) for x, t in ((row.rids, np.int64), (row.ids, np.int64), (row.first, np.uint32)))
-                for a in range(0, len(ids), PLACES_AT_ONCE):
-                    own, inside = np.nonzero(low[None, :] < ids[a : a + PLACES_AT_ONCE, None])
-                    owners.append(rids[a : a + PLACES_AT_ONCE][own])
-                    places.append(first[a : a + PLACES_AT_ONCE][own] + place[inside])
-                    held += len(own)
-                    if held > 50 * PLACES_AT_ONCE:
-                        yield _packed_runs(np.concatenate(owners), np.concatenate(places))
-                        owners, places, held = [], [], 0
-            if held:
-                yield _packed_runs(np.concatenate(owners), np.concatenate(places))
+    def mark(chunk: pd.DataFrame) -> pd.DataFrame:
+        owners, places, held, out = [], [], 0, []
+        for row in chunk.itertuples(index=False):
+            found = np.frombuffer(row.found, ">i8").reshape(-1, 2)
+            place, low = found[:, 0].astype(np.uint32), found[:, 1].astype(np.int64)
+            rids, ids, first = (np.frombuffer(x, t) for x, t in ((row.rids, np.int64), (row.ids, np.int64), (row.first, np.uint32)))
+            for a in range(0, len(ids), PLACES_AT_ONCE):
+                own, inside = np.nonzero(low[None, :] < ids[a : a + PLACES_AT_ONCE, None])
+                owners.append(rids[a : a + PLACES_AT_ONCE][own])
+                places.append(first[a : a + PLACES_AT_ONCE][own] + place[inside])
+                held += len(own)
+                if held > 50 * PLACES_AT_ONCE:
+                    out.append(_packed_runs(np.concatenate(owners), np.concatenate(places)))
+                    owners, places, held = [], [], 0
+        if held or not out:
+            out.append(_packed_runs(np.concatenate(owners), np.concatenate(places)))
+        return pd.concat(out)
 
     entries = stored(
         docs.select("rid", "id", "text").mapInPandas(
-            read, "context binary, low bigint, high bigint, rids binary, ids binary, first binary"
+            read, "chunk bigint, context binary, low bigint, high bigint, rids binary, ids binary, first binary"
         ),
         "hot-contexts",
     )
@@ -184,8 +185,8 @@ def _hot_runs(docs: DataFrame, hot: np.ndarray, window: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(packed)).alias("found"))
         .select(F.col("context"), F.expr("aggregate(found, cast('' as binary), (x, y) -> concat(x, y))").alias("found"))
     )
-    asked = entries.join(stored(found, "hot-found"), "context").select("rids", "ids", "first", "found")
-    return asked.mapInPandas(mark, "rid bigint, runs binary")
+    asked = entries.join(stored(found, "hot-found"), "context").select("chunk", "rids", "ids", "first", "found")
+    return asked.groupBy("chunk").applyInPandas(mark, "rid bigint, runs binary")
 
 
 def _entries(docs: DataFrame, parts: int, window: int, hot: np.ndarray) -> DataFrame:
