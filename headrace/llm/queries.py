@@ -9,8 +9,10 @@ from headrace.llm.common import table
 from headrace.llm.decontaminate import decontaminate
 from headrace.llm.jaccard_join import groups
 from headrace.llm.labelled import fold
+from headrace.llm.merkle import verify
 from headrace.llm.packing import pack
 from headrace.llm.page_text import extract
+from headrace.llm.prefix_trie import trie
 from headrace.llm.quality import quality
 from headrace.llm.sharding import shard
 from headrace.llm.suffix_dedup import deduplicate
@@ -95,6 +97,14 @@ def op10_page_text(spark, sf_dir: str) -> DataFrame:
     return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
+    return verify(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark, sf_dir: str) -> DataFrame:
+    return trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -106,4 +116,6 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_page_text": op10_page_text,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
