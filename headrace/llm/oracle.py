@@ -70,6 +70,22 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 ORACLE = {"op1_decontamination": OP1, "op7_topk": OP7, "op8_jaccard_join": OP8}
 
+OP11 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (
+  SELECT doc_id, i, list_aggregate(w[i:i + 34], 'string_agg', ' ') AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35)
+),
+r AS (SELECT v FROM v GROUP BY v HAVING count(*) > 1),
+h AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM v JOIN r USING (v)),
+k AS (
+  SELECT doc_id, count(h.i) AS n, string_agg(x, ' ' ORDER BY i) FILTER (h.i IS NULL) AS kept
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w) LEFT JOIN h USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
 # A decimal number's crc32: a table of 256 steps, folded over its digits.
 _CRC = """
 RECURSIVE step(i, k, c) AS (
@@ -185,4 +201,4 @@ SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id,
 FROM m JOIN s USING (path, depth) LEFT JOIN n AS u ON u.path = m.up AND u.depth = m.depth - 1
 """
 
-ORACLE |= {"op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}
+ORACLE |= {"op11_substring_dedup": OP11, "op12_merkle_manifest": OP12, "op13_prefix_trie": OP13}

@@ -15,6 +15,7 @@ from headrace.llm.page_text import extract
 from headrace.llm.prefix_trie import trie
 from headrace.llm.quality import quality
 from headrace.llm.sharding import shard
+from headrace.llm.substring_dedup import deduplicate_words
 from headrace.llm.suffix_dedup import deduplicate
 from headrace.llm.token_counts import count_tokens
 from headrace.llm.topk import top_k
@@ -97,6 +98,11 @@ def op10_page_text(spark, sf_dir: str) -> DataFrame:
     return extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    cut = deduplicate_words(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_merkle_manifest(spark, sf_dir: str) -> DataFrame:
     return verify(table(spark, sf_dir, "documents"))
 
@@ -116,6 +122,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_page_text": op10_page_text,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_prefix_trie": op13_prefix_trie,
 }
