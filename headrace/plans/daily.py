@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from headrace.operators.mirror import mirror_files
 from headrace.plans.export import export_changes
 from headrace.plans.ingest import FILES_PER_COMMIT, ingest
-from headrace.sources.committed import CommittedTable
+from headrace.sources.committed import VERSION, CommittedTable
 from headrace.sources.literals import one_row
 from headrace.sources.relational import JdbcTable
 
@@ -28,9 +28,10 @@ def mirror_pending(
 ) -> DataFrame:
     """Mirror every ingested file without an ``ok`` so far; missing and failed ones stay pending."""
     done = mirrored.read().where("status = 'ok'") if mirrored.last_version() >= 0 else None
-    files = lake.source_files().select("path")
+    files = lake.source_files().groupBy("path").agg(F.max(VERSION).alias(VERSION))
     pending = files.join(done, "path", "left_anti") if done is not None else files
-    paths = [row["path"] for row in pending.distinct().collect()]
+    # in the order of their arrival: a later file replaces an earlier one of its name
+    paths = [row["path"] for row in pending.orderBy(VERSION, "path").select("path").collect()]
     if paths:
         version = mirrored.commit(mirror_files(spark, paths, destination)).version
     else:

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from headrace.functions.columns import normalise
+from headrace.sources.footers import by_schema
 
 Result = TypeVar("Result")
 
@@ -55,43 +54,18 @@ def by_halves(
     return by_halves(items[:middle], attempt, may_split) + by_halves(items[middle:], attempt, may_split)
 
 
-def schemas_differ(error: Exception) -> bool:
-    return "CANNOT_MERGE_SCHEMAS" in str(error)
-
-
-def stored_schemas(
-    spark: SparkSession, paths: Sequence[str], at_once: int = 16
-) -> dict[str, T.StructType | Exception]:
-    """Each file's own schema, or the error its footer gave. Several footers are read at a time."""
-    def schema_of(path: str) -> T.StructType | Exception:
-        try:
-            return spark.read.parquet(path).schema
-        except Exception as error:
-            return error
-
-    with ThreadPoolExecutor(at_once) as threads:
-        return dict(zip(paths, threads.map(schema_of, paths)))
-
-
-def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files of one common schema, each column with the type it was stored with."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
-
-
 def read_as_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All rows of all files: lower-case names, text values, absent columns null.
 
-    Each group of files with one schema is cast from its own types before the groups are united.
+    Files of exactly the same schema are read together and cast from their own types; then the groups
+    are united. So the text of a value, nested ones included, depends on its own file alone. One pass
+    over the footers finds the groups; there is one branch of the plan for each distinct schema.
     """
-    def attempt(group: list[str]) -> DataFrame:
-        return normalise(read_files(spark, group))
-
-    groups = by_halves(paths, attempt, schemas_differ)
-    frames = []
-    for _, frame in groups:
-        if isinstance(frame, Exception):
-            raise frame
-        frames.append(frame)
+    groups, errors = by_schema(spark, paths)
+    if errors:
+        path, error = min(errors.items())
+        raise ValueError(f"{path}: {error}")
+    frames = [normalise(spark.read.schema(group.schema).parquet(*group.files)) for group in groups]
     united = frames[0]
     for frame in frames[1:]:
         united = united.unionByName(frame, allowMissingColumns=True)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headrace.plans.ingest import ingest, new_files
-from headrace.sources import files
+from headrace.sources import files, footers
 from headrace.sources.committed import CommittedTable
 from tests.conftest import rows
 
@@ -154,3 +154,46 @@ def test_read_table_merges_columns(spark, place):
     csv = place()
     spark.range(2).write.option("header", True).csv(csv)
     assert files.read_table(spark, csv, "csv", header="true").count() == 2
+
+
+def test_text_of_nested_values_depends_on_the_own_file_only(spark, place):
+    folder = place()
+    frames = {
+        "narrow": spark.sql("SELECT named_struct('a', 1) AS s, array(named_struct('x', 1)) AS l"),
+        "wide": spark.sql("SELECT named_struct('a', 1, 'b', 2) AS s, array(named_struct('x', 1, 'y', 2)) AS l"),
+        "again": spark.sql("SELECT named_struct('a', 1) AS s, array(named_struct('x', 1)) AS l"),
+        "flat": spark.sql("SELECT 7 AS s"),
+    }
+    paths = [add_file(df, folder, name) for name, df in frames.items()]
+    alone = sorted((r["s"] for path in paths for r in files.read_as_text(spark, [path]).collect()), key=str)
+    together = files.read_as_text(spark, paths)
+    assert sorted((r["s"] for r in together.collect()), key=str) == alone == ["7", "{1, 2}", "{1}", "{1}"]
+    assert sorted((r["l"] for r in together.collect()), key=lambda v: v or "") == [None, "[{1, 2}]", "[{1}]", "[{1}]"]
+
+
+def test_footers_are_read_in_one_job(spark, place):
+    folder = place()
+    paths = [add_file(spark.range(n + 1).withColumn(f"c{n % 3}", F.lit(1)), folder, f"f{n:02}") for n in range(9)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        groups, errors = footers.by_schema(spark, paths)
+    finally:
+        spark.sparkContext.setJobGroup("none", "none")
+    # one pass over all footers (dealt out first), and one footer for each distinct schema
+    assert len(tracker.getJobIdsForGroup("footers")) <= 2 + len(groups)
+    assert errors == {} and [len(g.files) for g in groups] == [3, 3, 3]
+    assert {path: n for g in groups for path, n in g.files.items()} == {path: i + 1 for i, path in enumerate(paths)}
+    assert [g.schema.names for g in groups] == [["id", f"c{n}"] for n in range(3)]
+
+
+def test_footers_of_stores_that_only_spark_can_open(spark, place):
+    folder = place()
+    paths = [add_file(spark.range(2), folder, "a"), add_file(spark.range(3), folder, "b")]
+    asked = [footers._asked(spark, path) for path in paths]
+    assert len({row[1] for row in asked}) == 1 and [row[2] for row in asked] == [2, 3]
+    assert footers._footer("nowhere://store/x") == ("nowhere://store/x", None, None, footers.UNREACHED)
+    groups, errors = footers.by_schema(spark, [*paths, f"{folder}/gone.parquet", "nowhere://store/x"])
+    assert [len(g.files) for g in groups] == [2] and len(errors) == 2
+    assert "PATH_NOT_FOUND" in errors[f"{folder}/gone.parquet"]
+    assert footers.by_schema(spark, []) == ([], {})

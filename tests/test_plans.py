@@ -3,7 +3,7 @@ import os
 import pytest
 
 from headrace.operators.mirror import mirror_files
-from headrace.plans.daily import run_daily
+from headrace.plans.daily import mirror_pending, run_daily
 from headrace.plans.export import export_changes, full_reload, pending_range
 from headrace.plans.ingest import ingest
 from headrace.sources import catalog
@@ -183,3 +183,48 @@ def test_names_with_blanks_and_signs(spark, place):
         ("a b.parquet", 1), ("c=d.parquet", 2), ("e%20f.parquet", 3), ("g+h.parquet", 4),
     ]
     assert spark.read.parquet(out).count() == 10
+
+
+def test_a_later_file_of_a_name_replaces_the_earlier(spark, place):
+    one, two = place("x"), place("y")
+    paths = [f"file:{add_file(spark.range(n), folder, 'm')}" for folder, n in ((one, 3), (two, 2))]
+    out = place("mirror")
+    assert rows(mirror_files(spark, paths, out), "path", "status", "row_count") == sorted(
+        [(paths[0], "ok", 3), (paths[1], "ok", 2)]
+    )
+    assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 2
+    mirror_files(spark, paths[::-1], out)
+    assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 3
+    empty = f"file:{add_file(spark.range(0), place('z'), 'm')}"
+    assert rows(mirror_files(spark, [*paths, empty], out), "row_count") == [(0,), (2,), (3,)]
+    assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 0
+
+
+def test_an_earlier_file_stays_where_the_later_cannot_be_copied(spark, place):
+    paths = [add_file(spark.range(1000), place(f"f{n}"), "m") for n in range(2)]
+    with open(paths[1], "r+b") as damaged:
+        damaged.seek(8)
+        damaged.write(os.urandom(400))
+    out = place("mirror")
+    report = mirror_files(spark, [f"file:{path}" for path in paths], out)
+    assert sorted(rows(report, "status", "row_count")) == [("failed", 0), ("ok", 1000)]
+    assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 1000
+
+
+def test_a_folder_that_is_gone_is_missing_not_an_error(spark, place):
+    folder, paths = mixed_folder(spark, place)
+    gone = f"file:{folder}-gone/one.parquet"
+    report = rows(mirror_files(spark, [*paths, gone], place("mirror")), "path", "status")
+    assert dict(report) == {**dict.fromkeys(paths, "ok"), gone: "missing"}
+
+
+def test_later_deliveries_of_a_name_win_in_the_daily_chain(spark, place):
+    lake, target = tables(spark, place)
+    mirrored, out = CommittedTable(spark, place("log")), place("mirror")
+    first, second = place("b"), place("a")  # path order is not the order of arrival
+    add_file(spark.range(3), first, "m")
+    add_file(spark.range(5), second, "m")
+    ingest(spark, first, lake)
+    ingest(spark, second, lake)
+    assert rows(mirror_pending(spark, lake, mirrored, out), "row_count") == [(3,), (5,)]
+    assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 5

@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from registry.oracle import ORACLE as SQL
+from registry.queries import QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables are not here")
 
@@ -40,6 +41,7 @@ def in_order(names, content):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys() and SQL.keys() <= entry_points.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", SQL)
