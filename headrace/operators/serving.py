@@ -3,6 +3,9 @@
 A full merge writes a new snapshot and switches to it; a failed one leaves the old in place. Between
 merges, each micro-batch of the stream table is appended to the live part. A snapshot records the
 stream commit it reaches, and readers add only live commits beyond it, so a row is never seen twice.
+
+Ids of live rows are running numbers over all live commits, kept with each commit. What a reader adds to
+them is one number: where the snapshot ends, less what ran before it.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import time
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +47,8 @@ from headrace.sources.literals import no_rows, one_row
 
 BATCH, STREAM = "batch", "stream"
 SUCCESS = "SUCCESS"
+MERGED = "merged"  # kept with a snapshot: location, base and newest version of each table it was merged from
+RAN = "rows_through"  # kept with a live commit: rows of all live commits up to it
 
 MERGE_LOG = (
     T.StructType()
@@ -134,8 +139,12 @@ class ServingTable:
     def _write_snapshot(
         self, batch: DataFrame | CommittedTable, stream: DataFrame | CommittedTable, notes: Mapping[str, str]
     ) -> dict[str, int]:
-        through = stream.last_version() if isinstance(stream, CommittedTable) else self.live.last_version()
-        scans = {BATCH: self._stored(batch), STREAM: self._stored(stream, through)}
+        newest = {o: t.latest() if isinstance(t, CommittedTable) else None for o, t in ((BATCH, batch), (STREAM, stream))}
+        if isinstance(stream, CommittedTable):
+            through = newest[STREAM].version if newest[STREAM] else NONE
+        else:
+            through = self.live.last_version()
+        scans = {o: self._stored(side, newest[o]) for o, side in ((BATCH, batch), (STREAM, stream))}
         columns = self._columns(scans)
         schema = serving_schema(columns[BATCH], columns[STREAM])
         common = common_columns(columns[BATCH], columns[STREAM])
@@ -150,14 +159,49 @@ class ServingTable:
         # One directory per origin, written apart: no sort, and a filter on origin reads one of them.
         # Columns of one side only are null for every row; the schema supplies them without storage.
         parts = {f"{ORIGIN}={origin}": rows for origin, rows in numbered.items()}
+        merged = {
+            origin: [side.location, newest[origin].base, newest[origin].version]
+            for origin, side in ((BATCH, batch), (STREAM, stream))
+            if newest[origin]
+        }
         self.snapshots.commit(
             parts or no_rows(self.spark, schema),
             replace=True,
             schema=schema,
-            details={**notes, **self._details(columns[BATCH], columns[STREAM], through)},
+            details={
+                **notes,
+                **self._details(columns[BATCH], columns[STREAM], through),
+                MERGED: json.dumps(merged),
+            },
         )
         return {BATCH: 0, STREAM: 0, **counts}
 
+    def load(self, rows: DataFrame, aside: CommittedTable | None = None) -> int:
+        """Make rows that carry their own origin the served ones; returns how many had to stay out.
+
+        Origins are checked in the pass that stores the rows: those outside the domain are never
+        served. They go to ``aside``, or without that table nothing is loaded and the error says how many
+        there were. An unknown (null) origin passes.
+        """
+        seen = Observation()
+        rows = normalise(rows)
+        place = scratch(self.spark, "loaded")
+        bad = ~F.coalesce(F.col(ORIGIN).isin(BATCH, STREAM), F.lit(True))
+        checked = rows.observe(seen, F.count_if(bad).alias("violations")).where(~bad)
+        checked.write.parquet(place)
+        violations = seen.get["violations"]
+        if violations and aside is None:
+            raise ValueError(f"{violations} rows have an origin other than {BATCH} and {STREAM}")
+        if violations:
+            aside.commit(rows.where(bad))
+        stored = self.spark.read.schema(rows.schema).parquet(place)
+        columns = [name for name in rows.columns if name not in (ID, ORIGIN)]
+        schema = serving_schema(columns, columns)
+        numbered, _ = number_rows({"rows": stored.select(*map(field, columns), ORIGIN)})
+        details = self._details(columns, columns, self.live.last_version())
+        self.snapshots.commit(aligned(numbered["rows"], schema), replace=True, schema=schema, details=details)
+        return violations
+
     def _columns(self, scans: Mapping[str, DataFrame]) -> dict[str, list[str]]:
         """Both sides' columns; of a side that has none yet, those declared or the other side's."""
         found = {origin: scan.columns for origin, scan in scans.items()}
@@ -167,12 +211,12 @@ class ServingTable:
             found = {o: c or json.loads(known.get(f"{o}_columns", "[]")) for o, c in found.items()}
         return {BATCH: found[BATCH] or found[STREAM], STREAM: found[STREAM] or found[BATCH]}
 
-    def _stored(self, rows: DataFrame | CommittedTable, through: int | None = None) -> DataFrame:
+    def _stored(self, rows: DataFrame | CommittedTable, newest: Commit | None) -> DataFrame:
         if not isinstance(rows, CommittedTable):
             staged, place = normalise(rows), scratch(self.spark, "staged")
             staged.write.parquet(place)
             return self.spark.read.schema(staged.schema).parquet(place)
-        return lowercase_columns(rows.read(through))
+        return lowercase_columns(rows.read(newest.version if newest else NONE))
 
     @staticmethod
     def _details(
@@ -195,15 +239,29 @@ class ServingTable:
             raise ValueError("create or merge the serving table first")
         rows = lowercase_columns(stream.only(commit))
         common = common_columns(json.loads(snapshot.details["batch_columns"]), rows.columns)
-        numbered, _ = number_rows({STREAM: rows.select(*map(field, common))})
+        before = self._ran(commit.version - 1)
+        numbered, counts = number_rows({STREAM: rows.select(*map(field, common))}, start=before + 1)
         schema = T.StructType(
             [T.StructField(ID, T.LongType()), *text_schema(common), T.StructField(ORIGIN, T.StringType())]
         )
-        added = self.live.commit({f"{ORIGIN}={STREAM}": numbered[STREAM]}, commit.version, schema=schema)
-        before = self._live_starts(snapshot).get(added.version)
-        number = F.lit(None).cast("long") if before is None else F.col(ID) + before
+        added = self.live.commit(
+            {f"{ORIGIN}={STREAM}": numbered[STREAM]},
+            commit.version,
+            schema=schema,
+            details={RAN: str(before + counts[STREAM])},
+        )
+        number = F.lit(None).cast("long") if self.reaches(commit) else F.col(ID) + self._shift(snapshot)
         return aligned(self.live.only(added).withColumn(ID, number), snapshot.schema)
 
+    def _ran(self, version: int) -> int:
+        """How many rows all live commits up to a version have."""
+        commit = self.live.latest(version)
+        return int(commit.details[RAN]) if commit else 0
+
+    def _shift(self, snapshot: Commit) -> int:
+        """What the running numbers of live rows differ by from their ids after this snapshot."""
+        return snapshot.row_count - self._ran(int(snapshot.details["stream_through"]))
+
     def reaches(self, commit: Commit) -> bool:
         """Whether the newest snapshot holds this commit of the stream."""
         snapshot = self.snapshots.latest()
@@ -214,37 +272,25 @@ class ServingTable:
     def read(self) -> DataFrame:
         """The current serving rows: newest snapshot plus the live commits beyond it."""
         snapshot = self.snapshots.latest()
-        if snapshot is None:
-            return self.snapshots.read()
-        return self._served(snapshot, self._live_starts(snapshot))
+        return self.snapshots.read() if snapshot is None else self._served(snapshot)
 
     def read_before(self, snapshot: Commit) -> DataFrame:
         """The rows served before this snapshot, none if it is the first."""
         previous = self.snapshots.latest(snapshot.version - 1)
         if previous is None:
             return no_rows(self.spark, snapshot.schema)
-        through = int(snapshot.details["stream_through"])
-        starts = {v: n for v, n in self._live_starts(previous).items() if v <= through}
-        return self._served(previous, starts)
+        return self._served(previous, int(snapshot.details["stream_through"]))
+
+    def live_versions(self, snapshot: Commit, last: int | None = None) -> list[int]:
+        """Stream commits copied to serving beyond a snapshot."""
+        return self.live.versions(int(snapshot.details["stream_through"]) + 1, last)
 
-    def _served(self, snapshot: Commit, starts: Mapping[int, int]) -> DataFrame:
-        rows = self.snapshots.only(snapshot)
-        if not starts:
+    def _served(self, snapshot: Commit, last: int | None = None) -> DataFrame:
+        rows, versions = self.snapshots.only(snapshot), self.live_versions(snapshot, last)
+        if not versions:
             return rows
-        # One entry per micro-batch since the last merge.
-        begin = self.spark.createDataFrame(list(starts.items()), f"{VERSION} LONG, _before LONG")
-        live = self.live.scan(min(starts), max(starts)).join(F.broadcast(begin), VERSION)
-        return rows.unionByName(aligned(live.withColumn(ID, F.col(ID) + F.col("_before")), snapshot.schema))
-
-    def _live_starts(self, snapshot: Commit) -> dict[int, int]:
-        """Live commits beyond the snapshot, each with the number of rows before it."""
-        through = int(snapshot.details["stream_through"])
-        commits = self.live.log().where(F.col(VERSION) > through).select(VERSION, "row_count")
-        starts, before = {}, snapshot.row_count
-        for row in sorted(commits.collect(), key=lambda row: row[VERSION]):
-            starts[row[VERSION]] = before
-            before += row["row_count"]
-        return starts
+        live = self.live.scan(versions[0], versions[-1])
+        return rows.unionByName(aligned(live.withColumn(ID, F.col(ID) + self._shift(snapshot)), snapshot.schema))
 
     def merge_log(self) -> DataFrame:
         return read_records(self.spark, self.log_location, MERGE_LOG).select(

@@ -25,17 +25,24 @@ def pending_range(lake: CommittedTable, exported_through: int) -> tuple[int, int
 
 
 def export_changes(lake: CommittedTable, target: CommittedTable | JdbcTable) -> Exported | None:
-    """Append the rows of all versions the target has not seen; None if there are none.
+    """Bring the target up to the lake's newest version; None if it is there already.
 
+    Rows of versions it has not seen are appended. If the lake table was replaced since, what the target
+    holds is no longer part of it, and an append could not take that back: the target is replaced too.
     The range comes from the target's own record, so a failed run is made up for by the next one.
     """
-    versions = pending_range(lake, target.exported_through())
+    seen = target.exported_through()
+    versions = pending_range(lake, seen)
     if versions is None:
         return None
-    rows = target.append(exportable(lake.changes(*versions)), versions[1])
-    return Exported(*versions, rows)
+    if lake.replaced_since(seen) is not None:
+        return Exported(*versions, target.overwrite(lake.read(versions[1]), through=versions[1]))
+    return Exported(*versions, target.append(exportable(lake.changes(*versions)), versions[1]))
 
 
-def full_reload(table: DataFrame, target: CommittedTable | JdbcTable) -> int:
-    """Replace the target's content with a whole table and return its row count."""
-    return target.overwrite(table)
+def full_reload(table: DataFrame, target: CommittedTable | JdbcTable, through: int | None = None) -> int:
+    """Replace the target's content with a whole table and return its row count.
+
+    ``through`` is the lake version the table is, so that the next export goes on from there.
+    """
+    return target.overwrite(table, through=through)

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from headrace.functions.columns import ID, aligned
-from headrace.operators.changelog import as_messages, keyed_changes, row_changes
-from headrace.operators.serving import SUCCESS, ServingTable
+from headrace.operators.changelog import as_messages
+from headrace.operators.rebuilds import rebuild_changes
+from headrace.operators.serving import BATCH, STREAM, SUCCESS, ServingTable
 from headrace.sources.committed import VERSION, CommittedTable
 from headrace.streaming.tables import StreamToTable, table_sink
 from headrace.streaming.topics import run
@@ -44,7 +44,7 @@ class LambdaView:
         The difference to the rows served before goes to ``rebuild_changelog`` under the snapshot's
         version: by business keys if they are given, row by row without them, not at all for None.
         What a rebuild that broke off has left out is made up for by the next one. Row ids restart
-        with every merge, so they take no part in it.
+        with every merge, so they take no part in it. Only commits that are not in both are compared.
         """
         self._publish()
         notes = {} if keys is None else {PUBLISH: json.dumps(list(keys))}
@@ -61,9 +61,8 @@ class LambdaView:
         for row in missing.select(VERSION).orderBy(VERSION).collect():
             snapshot = self.serving.snapshots.latest(row[VERSION])
             keys = json.loads(snapshot.details[PUBLISH])
-            after = self.serving.snapshots.only(snapshot).drop(ID)
-            before = aligned(self.serving.read_before(snapshot), after.schema)
-            changes = keyed_changes(before, after, keys) if keys else row_changes(before, after)
+            tables = {BATCH: self.batch, STREAM: self.stream}
+            changes = rebuild_changes(self.serving, snapshot, tables, keys)
             self.rebuild_changelog.commit(as_messages(changes), snapshot.version)
 
     def read(self) -> DataFrame:

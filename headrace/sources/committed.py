@@ -2,13 +2,15 @@
 
 A commit becomes visible when its record is written, after its data. A retry under the same version
 overwrites the same directory, so nothing is stored twice and nothing half-written is ever read.
-The record holds the table's schema, so a reader opens no footers to learn it.
+The record holds the table's schema, so a reader opens no footers to learn it. Which commits there are is
+told by the names of the records: a reader opens the newest one only, at any age of the table.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+import re
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
@@ -18,7 +20,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headrace.functions.columns import widened
+from headrace.functions.columns import aligned, widened
+from headrace.operators.changelog import CREATED, DELETED, keyed_changes
 from headrace.sources.literals import no_rows, one_row
 
 VERSION = "commit_version"
@@ -37,6 +40,9 @@ RECORD = (
     .add("files", T.ArrayType(T.StringType()))
 )
 RECORD_KEY = "record"
+# The kinds of change of a feed.
+INSERT, DELETE = "insert", "delete"
+BEFORE_UPDATE, AFTER_UPDATE = "update_preimage", "update_postimage"
 
 
 def utc_now() -> datetime:
@@ -59,6 +65,17 @@ def read_records(spark: SparkSession, location: str, schema: T.StructType) -> Da
         return no_rows(spark, full)
 
 
+def recorded_keys(spark: SparkSession, location: str) -> list[int]:
+    """Keys of all records, sorted, from the names of their files; none of them is opened."""
+    try:
+        names = spark.read.schema("base LONG").parquet(location).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted({int(found) for name in names for found in re.findall(rf"/{RECORD_KEY}=(\d+)/", name)})
+
+
 @dataclass(frozen=True)
 class Commit:
     """What is recorded of one commit. ``base`` is the first version still part of the table."""
@@ -69,6 +86,11 @@ class Commit:
     schema: T.StructType
     details: dict[str, str]
 
+    @property
+    def replaces(self) -> bool:
+        """Whether nothing before this commit is part of the table any more."""
+        return self.base == self.version
+
     @classmethod
     def of(cls, row: Row) -> Commit:
         schema = T.StructType.fromJson(json.loads(row["schema"]))
@@ -90,17 +112,20 @@ class CommittedTable:
         """One row per commit."""
         return read_records(self.spark, self.records, RECORD).withColumnRenamed(RECORD_KEY, VERSION)
 
-    def _newest_rows(self, upto: int | None, n: int | None = None) -> list[Row]:
-        log = self.log().select(VERSION, "base", "row_count", "schema", "details")
-        if upto is not None:
-            log = log.where(F.col(VERSION) <= upto)
-        log = log.orderBy(F.desc(VERSION))
-        return (log if n is None else log.limit(n)).collect()
+    def versions(self, first: int | None = None, last: int | None = None) -> list[int]:
+        """Committed versions in the range given, both ends included."""
+        known = recorded_keys(self.spark, self.records)
+        return [v for v in known if (first is None or v >= first) and (last is None or v <= last)]
+
+    def _commit(self, version: int) -> Commit:
+        record = self.spark.read.schema(RECORD).parquet(f"{self.records}/{RECORD_KEY}={version}")
+        row = record.select(F.lit(version).alias(VERSION), "base", "row_count", "schema", "details").first()
+        return Commit.of(row)
 
     def latest(self, version: int | None = None) -> Commit | None:
-        """The newest commit, or the newest one up to a version."""
-        found = self._newest_rows(version, 1)
-        return Commit.of(found[0]) if found else None
+        """The newest commit, or the newest one up to a version. One record is opened."""
+        known = self.versions(last=version)
+        return self._commit(known[-1]) if known else None
 
     def has(self, version: int) -> bool:
         found = self.latest(version)
@@ -134,13 +159,15 @@ class CommittedTable:
         files: Iterable[str] = (),
         details: Mapping[str, str] | None = None,
         after: Commit | None = None,
+        accept: Callable[[], None] | None = None,
     ) -> Commit:
         """Store rows as one commit.
 
         The version defaults to the next one; a caller that may retry passes its own, such as a
         micro-batch id. ``after`` spares looking up the newest commit where the caller knows it. ``replace`` makes this commit the table's only content. Several frames may be
         given by partition directory (``{"data_source=batch": df}``); then the declared ``schema``
-        names the partition column as well.
+        names the partition column as well. ``accept`` is called when the data is written and before
+        anything is visible, such as to look at what the write observed; if it raises, nothing ever is.
         """
         last = after or self.latest()
         if version is None:
@@ -158,6 +185,8 @@ class CommittedTable:
         for directory, frame in parts.items():
             path = f"{target}/{directory}" if directory else target
             frame.withColumn(COMMITTED_AT, F.lit(at)).write.mode("overwrite").parquet(path)
+        if accept is not None:
+            accept()
         # Counted from what was written: file footers only, and right whatever tasks were retried.
         rows = self.spark.read.schema(f"{COMMITTED_AT} TIMESTAMP").parquet(target).count()
 
@@ -172,18 +201,25 @@ class CommittedTable:
 
     def scan(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """Rows of the commits first..last, both included, with their version and commit time."""
-        rows = self._newest_rows(last)
-        if not rows:
+        known = self.versions(last=last)
+        if not known:
             return no_rows(self.spark, _stored(T.StructType()))
-        newest = Commit.of(rows[0])
-        schema = _stored(newest.schema)
+        newest = self._commit(known[-1])
         low = max(first or 0, newest.base)
-        reader = self.spark.read.schema(schema).option("basePath", self.data)
-        if low > newest.version:
-            return no_rows(self.spark, schema)
-        # Only recorded directories are named, at any number of versions: what an attempt left that
-        # was given up is never read, and other versions are not listed.
-        return reader.parquet(*(f"{self.data}/{VERSION}={r[VERSION]}" for r in rows if r[VERSION] >= low))
+        return self._directories([v for v in known if v >= low], newest.schema)
+
+    def _directories(self, versions: Sequence[int], schema: T.StructType) -> DataFrame:
+        """Rows of just these commits. Only recorded directories are named, at any number of versions: what
+        an attempt left that was given up is never read, and other versions are not listed."""
+        full = _stored(schema)
+        if not versions:
+            return no_rows(self.spark, full)
+        reader = self.spark.read.schema(full).option("basePath", self.data)
+        return reader.parquet(*(f"{self.data}/{VERSION}={v}" for v in versions))
+
+    def commits(self, versions: Sequence[int]) -> DataFrame:
+        """Rows of just these commits."""
+        return self._directories(sorted(versions), self.schema())
 
     def only(self, commit: Commit) -> DataFrame:
         """The rows of one commit, in the table's columns as of it."""
@@ -194,13 +230,45 @@ class CommittedTable:
         """The table as of its newest commit, or as of an older one."""
         return self.scan(last=version).drop(VERSION, COMMITTED_AT)
 
-    def changes(self, first: int, last: int | None = None) -> DataFrame:
-        """Change feed of the commits first..last: every stored row is an insert."""
-        return (
-            self.scan(first, last)
-            .withColumn(CHANGE_TYPE, F.lit("insert"))
-            .withColumnRenamed(VERSION, CHANGE_VERSION)
+    def replaced_since(self, version: int) -> Commit | None:
+        """The commit that replaced the table as of ``version``, if there was one and one has come since."""
+        newest, held = self.latest(), self.latest(version)
+        return self._commit(newest.base) if newest and held and newest.base > held.version else None
+
+    def changes(self, first: int, last: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+        """Change feed of the commits first..last: applied to the table as of ``first - 1`` it gives the one of ``last``.
+
+        Appended rows are inserts of their own version. If the table was replaced in the range, all rows it
+        had before the range are deletes, and those of the replacing commit inserts, under its version; what
+        came and went within the range is left out. With ``keys`` the two are compared: equal rows are left out,
+        and a row whose key was there before is an ``update_preimage`` and an ``update_postimage``. Without a
+        replaced table no row is shuffled either way.
+        """
+        newest, held = self.latest(last), self.latest(first - 1)
+        inserts = _as_feed(self.scan(first, last), INSERT)
+        if newest is None or held is None or newest.base < first:
+            return inserts
+        schema = newest.schema
+        gone = self.read(held.version)
+        if not keys:
+            deletes = self._marked(aligned(gone, widened_by(schema, gone.schema)), newest.base).withColumn(CHANGE_TYPE, F.lit(DELETE))
+            return inserts.unionByName(deletes, allowMissingColumns=True)
+        came = self.only(self._commit(newest.base))
+        both = widened_by(schema, gone.schema)
+        differ = keyed_changes(aligned(gone, both), aligned(came, both), keys)
+        new, was = F.struct(F.lit(INSERT).alias(CHANGE_TYPE), "after.*"), F.struct(F.lit(DELETE).alias(CHANGE_TYPE), "before.*")
+        pair = F.array(
+            F.struct(F.lit(BEFORE_UPDATE).alias(CHANGE_TYPE), "before.*"), F.struct(F.lit(AFTER_UPDATE).alias(CHANGE_TYPE), "after.*")
         )
+        kinds = F.when(F.col("op") == CREATED, F.array(new)).when(F.col("op") == DELETED, F.array(was)).otherwise(pair)
+        replaced = self._marked(differ.select(F.inline(kinds)), newest.base)
+        later = inserts.where(F.col(CHANGE_VERSION) > newest.base)
+        return later.unionByName(replaced, allowMissingColumns=True)
+
+    def _marked(self, rows: DataFrame, version: int) -> DataFrame:
+        """Rows as part of the commit ``version``."""
+        at = self.log().where(F.col(VERSION) == version).first()["committed_at"]
+        return rows.withColumn(COMMITTED_AT, F.lit(at)).withColumn(CHANGE_VERSION, F.lit(version).cast("long"))
 
     # -- as an export target ---------------------------------------------------------------------
 
@@ -211,9 +279,21 @@ class CommittedTable:
         """Store rows exported up to a version; repeating the export replaces them."""
         return self.commit(df, through).row_count
 
-    def overwrite(self, df: DataFrame) -> int:
-        """Replace the whole content in one switch; readers see the old or the new table."""
-        return self.commit(df, replace=True).row_count
+    def overwrite(self, df: DataFrame, through: int | None = None) -> int:
+        """Replace the whole content in one switch; readers see the old or the new table.
+
+        ``through`` is the version of the source that the content is, if that is known.
+        """
+        return self.commit(df, through, replace=True).row_count
+
+
+def _as_feed(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.withColumn(CHANGE_TYPE, F.lit(kind)).withColumnRenamed(VERSION, CHANGE_VERSION)
+
+
+def widened_by(schema: T.StructType, other: T.StructType) -> T.StructType:
+    """The schema's columns, and those that only the other one has, each with its own type."""
+    return T.StructType([*schema, *(f for f in other if f.name not in schema.names)])
 
 
 def _stored(schema: T.StructType) -> T.StructType:

@@ -125,3 +125,74 @@ def test_parts_become_partitions(spark, place):
     assert rows(table.only(commit), "a", "s") == [("1", "x"), ("1", "y")]
     plan = table.read().where("s = 'x'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(s" in plan
+
+
+def test_the_newest_record_alone_is_opened(spark, place, monkeypatch):
+    table = CommittedTable(spark, place())
+    for n in range(5):
+        table.commit(frame(spark, (str(n), "v")))
+    opened = []
+    one = CommittedTable._commit
+    monkeypatch.setattr(CommittedTable, "_commit", lambda self, v: opened.append(v) or one(self, v))
+    monkeypatch.setattr(CommittedTable, "log", lambda self: pytest.fail("all records are read"))
+    assert table.latest().version == 4 and table.latest(2).version == 2 and opened == [4, 2]
+    assert table.versions() == [0, 1, 2, 3, 4] and table.versions(1, 3) == [1, 2, 3]
+    assert table.read().count() == 5 and opened == [4, 2, 4]
+
+
+def test_what_a_write_observed_can_stop_the_commit(spark, place):
+    table = CommittedTable(spark, place())
+    table.commit(frame(spark, ("1", "x")))
+
+    def refuse():
+        raise ValueError("not these")
+
+    with pytest.raises(ValueError, match="not these"):
+        table.commit(frame(spark, ("2", "y")), accept=refuse)
+    assert rows(table.read()) == [("1", "x")] and table.last_version() == 0
+    table.commit(frame(spark, ("3", "z")), accept=lambda: None)
+    assert rows(table.read()) == [("1", "x"), ("3", "z")]
+
+
+def replaced(spark, place):
+    """Versions 0 and 1 appended, 2 replaces both, 3 appended, 4 replaces again, 5 appended."""
+    table = CommittedTable(spark, place())
+    table.commit(frame(spark, ("1", "x"), ("2", "x")))
+    table.commit(frame(spark, ("3", "x")))
+    table.commit(frame(spark, ("2", "x"), ("3", "new"), columns="a STRING, b STRING"), replace=True)
+    table.commit(frame(spark, ("4", "x")))
+    table.commit(frame(spark, ("2", "x"), ("4", "new"), ("5", "x")), replace=True)
+    table.commit(frame(spark, ("6", "x")))
+    return table
+
+
+def test_a_feed_over_a_replace_tells_what_went(spark, place):
+    table = replaced(spark, place)
+    feed = rows(table.changes(1, 2), "_change_type", "a", "b", "_commit_version")
+    assert feed == [("delete", "1", "x", 2), ("delete", "2", "x", 2), ("insert", "2", "x", 2), ("insert", "3", "new", 2)]
+    keyed = rows(table.changes(2, 3, keys=["a"]), "_change_type", "a", "b", "_commit_version")
+    assert keyed == [
+        ("delete", "1", "x", 2), ("insert", "4", "x", 3), ("update_postimage", "3", "new", 2), ("update_preimage", "3", "x", 2),
+    ]
+    assert rows(table.changes(1, 1), "_change_type", "a") == [("insert", "3")]
+    stamps = {r["commit_version"]: r["committed_at"] for r in table.log().collect()}
+    assert {r["_commit_timestamp"] for r in table.changes(1, 2).collect()} == {stamps[2]}
+
+
+@pytest.mark.parametrize("keys", [(), ("a",)])
+def test_a_feed_applied_gives_the_table(spark, place, keys):
+    table = replaced(spark, place)
+    for first in range(7):
+        for last in range(first, 6):
+            have = [tuple(r) for r in table.read(first - 1).collect()] if first else []
+            for r in table.changes(first, last, keys).orderBy("_commit_version").collect():
+                row = (r["a"], r["b"])
+                have.remove(row) if r["_change_type"] in ("delete", "update_preimage") else have.append(row)
+            assert sorted(have) == rows(table.read(last))
+
+
+def test_a_feed_without_a_replace_moves_no_rows(spark, place):
+    table = CommittedTable(spark, place())
+    for n in range(3):
+        table.commit(frame(spark, (str(n), "v")))
+    assert "Exchange" not in table.changes(1, 2, keys=["a"])._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,6 @@
 import json
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from headrace.functions import envelope
@@ -60,6 +61,23 @@ def test_each_message_is_parsed_once(spark, place):
     path = place()
     values(spark, message({"a": "1"})).write.parquet(path)
     df = spark.read.schema("value STRING").parquet(path)
-    for out in (envelope.decode(df, ["a", "b"]), envelope.rejects(df)):
+    observed = envelope.decode_observed(df, ["a", "b"], Observation())
+    for out in (envelope.decode(df, ["a", "b"]), envelope.rejects(df), observed):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json") == 1
+
+
+def test_names_that_differ_in_case_are_one_column(spark):
+    texts = [message({"K": "1"}), message({"k": "2"}), message({"K": "3", "k": "4"}), message({"K": None, "k": "5"}), "junk"]
+    seen = Observation()
+    rows_ = envelope.decode_observed(values(spark, *texts, message({"k": "6", "new": "x"})), ["K", "k", "v"], seen)
+    assert rows_.columns == ["k", "v"]
+    assert sorted(r["k"] for r in rows_.collect()) == ["1", "2", "3", "5", "6"]
+    assert seen.get == {"undeclared": [["new"]], "unreadable": 1}
+    assert sorted(r["K"] or "" for r in envelope.decode(values(spark, *texts), ["K", "k"]).toDF("K", "l").collect()) == ["", "", "1", "3"]
+
+
+def test_odd_names(spark):
+    text = message({"a.b": "1", "c`d": "2", "": "3"})
+    got = envelope.decode_observed(values(spark, text), ["a.b", "c`d", ""], Observation())
+    assert [tuple(r) for r in got.collect()] == [("1", "2", "3")]

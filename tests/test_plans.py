@@ -228,3 +228,29 @@ def test_later_deliveries_of_a_name_win_in_the_daily_chain(spark, place):
     ingest(spark, second, lake)
     assert rows(mirror_pending(spark, lake, mirrored, out), "row_count") == [(3,), (5,)]
     assert spark.read.parquet(f"{out}/source_file=m.parquet").count() == 5
+
+
+def test_an_export_over_a_replace_equals_the_table(spark, place):
+    lake, target = tables(spark, place)
+    lake.commit(text(spark, "1", "2"))
+    assert export_changes(lake, target).rows == 2
+    lake.overwrite(text(spark, "2"))
+    assert export_changes(lake, target).rows == 1
+    assert rows(target.read()) == rows(lake.read()) == [("2",)]
+    assert export_changes(lake, target) is None
+    lake.commit(text(spark, "3"))
+    lake.overwrite(text(spark, "8"))
+    lake.commit(text(spark, "9"))
+    assert (export_changes(lake, target).rows, rows(target.read())) == (2, [("8",), ("9",)])
+    lake.commit(text(spark, "10"))
+    assert (export_changes(lake, target).rows, rows(target.read())) == (1, [("10",), ("8",), ("9",)])
+
+
+def test_an_export_goes_on_from_a_full_reload(spark, place):
+    lake, target = tables(spark, place)
+    for value in "123":
+        lake.commit(text(spark, value))
+    full_reload(lake.read(), target, through=lake.last_version())
+    lake.commit(text(spark, "4"))
+    assert export_changes(lake, target).rows == 1
+    assert rows(target.read()) == [("1",), ("2",), ("3",), ("4",)]

@@ -134,7 +134,7 @@ def test_a_commit_between_reading_and_switching_is_not_lost(spark, place):
     table.create(history.columns(), arriving.columns())
     table.append_stream(arriving, arriving.latest())
     old = CommittedTable(spark, arriving.location)
-    old.last_version = lambda: 0
+    old.latest = lambda version=None: CommittedTable.latest(old, 0)
     table.append_stream(arriving, arriving.commit(text(stream(spark, [("5", "k9", "s")]))))
     table.merge(history, old)
     assert rows(table.read(), "id", "key") == [(1, "k1"), (2, "k2"), (3, "k3"), (4, "k4"), (5, "k5"), (6, "k9")]
@@ -156,3 +156,18 @@ def test_origin_filter_reads_one_partition(spark, place):
     table.merge(batch(spark), stream(spark))
     plan = table.read().where("data_source = 'stream'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_source" in plan
+
+
+def test_rows_of_another_origin_never_become_visible(spark, place):
+    table, aside = ServingTable(spark, place()), CommittedTable(spark, place())
+    columns = "data_source STRING, k STRING, id STRING"
+    good = [("batch", "1", "7"), ("stream", "2", "8"), (None, "3", "9")]
+    given = spark.createDataFrame([*good, ("other", "4", "1"), ("", "5", "1")], columns)
+    assert table.load(spark.createDataFrame(good[:1], columns)) == 0
+    with pytest.raises(ValueError, match="2 rows have an origin"):
+        table.load(given)
+    assert rows(table.read(), "id", "k", "data_source") == [(1, "1", "batch")]
+    assert table.load(given, aside) == 2
+    assert sorted(r["id"] for r in table.read().collect()) == [1, 2, 3]
+    assert rows(table.read(), "k", "data_source") == [("1", "batch"), ("2", "stream"), ("3", None)]
+    assert rows(aside.read(), "k", "data_source") == [("4", "other"), ("5", "")]
