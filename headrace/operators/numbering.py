@@ -2,7 +2,8 @@
 
 A Parquet row already has a place: its file and its index in it. A count per file (footers only)
 gives each file its first id, and a row's id is that plus its index. No window over the rows, and a
-retried task gives the same ids, for the files do not change.
+retried task gives the same ids, for the files do not change. Files count in the order of their paths,
+however many there are.
 """
 
 from __future__ import annotations
@@ -13,11 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headrace.functions.columns import ID, field
+from headrace.session import scratch
 
-# Up to so many files are listed on the driver, as in every micro-batch.
+# Up to so many files are listed on the driver, as in every micro-batch; more are listed in ranges.
 LISTED_FILES = 1000
-# More are added up in this many groups, so that no single task sees all files.
-GROUPS = 256
 # Largest list of files that is sent to every executor. Longer ones are joined by shuffle.
 BROADCAST_BYTES = 200 * 1024 * 1024
 # Per listed file, besides its path: two longs and the row's own overhead in memory.
@@ -25,9 +25,8 @@ ENTRY_BYTES = 64
 
 
 def _files(scan: DataFrame) -> DataFrame:
-    """Every file with its row count and group."""
-    counts = scan.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.withColumn("_group", F.pmod(F.xxhash64("_file"), F.lit(GROUPS)))
+    """Every file with its row count."""
+    return scan.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def _listed_firsts(scan: DataFrame, start: int) -> tuple[DataFrame, int] | None:
@@ -36,28 +35,34 @@ def _listed_firsts(scan: DataFrame, start: int) -> tuple[DataFrame, int] | None:
     if len(listed) > LISTED_FILES:
         return None
     firsts, next_id = [], start
-    for row in sorted(listed, key=lambda row: row["_file"]):
+    for row in sorted(listed, key=lambda row: row["_file"].encode()):
         firsts.append((row["_file"], next_id))
         next_id += row["_rows"]
     frame = scan.sparkSession.createDataFrame(firsts, "_file STRING, _first LONG").coalesce(1)
     return F.broadcast(frame), next_id - start
 
 
-def _grouped_firsts(scan: DataFrame, start: int, broadcast_bytes: int) -> tuple[DataFrame, int]:
-    """The same for any number of files: only sums per group are listed here."""
-    files = _files(scan)
-    totals = files.groupBy("_group").agg(
+def _ranged_firsts(scan: DataFrame, start: int, broadcast_bytes: int) -> tuple[DataFrame, int]:
+    """The same ids for any number of files, which are dealt out by ranges of their names.
+
+    Only sums per range are listed here; within a range a window adds up its own files.
+    """
+    ranged = _files(scan).repartitionByRange("_file").withColumn("_range", F.spark_partition_id())
+    place = scratch(scan.sparkSession, "files")
+    ranged.write.parquet(place)
+    files = scan.sparkSession.read.schema(ranged.schema).parquet(place)
+    totals = files.groupBy("_range").agg(
         F.sum("_rows").alias("rows"), F.sum(F.length("_file") + ENTRY_BYTES).alias("size")
     )
     starts, next_id, size = {}, start, 0
-    for row in sorted(totals.collect(), key=lambda row: row["_group"]):
-        starts[row["_group"]] = next_id
+    for row in sorted(totals.collect(), key=lambda row: row["_range"]):
+        starts[row["_range"]] = next_id
         next_id += row["rows"]
         size += row["size"]
-    group_starts = F.create_map(*(F.lit(x) for item in starts.items() for x in item))
-    before = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    range_starts = F.create_map(*(F.lit(x) for item in starts.items() for x in item))
+    before = Window.partitionBy("_range").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     rows_before = F.coalesce(F.sum("_rows").over(before), F.lit(0))
-    firsts = files.select("_file", (group_starts[F.col("_group")] + rows_before).alias("_first"))
+    firsts = files.select("_file", (range_starts[F.col("_range")] + rows_before).alias("_first"))
     return (F.broadcast(firsts) if size <= broadcast_bytes else firsts), next_id - start
 
 
@@ -71,7 +76,7 @@ def number_rows(
     """
     numbered, counts = {}, {}
     for name, scan in scans.items():
-        firsts, counts[name] = _listed_firsts(scan, start) or _grouped_firsts(scan, start, broadcast_bytes)
+        firsts, counts[name] = _listed_firsts(scan, start) or _ranged_firsts(scan, start, broadcast_bytes)
         start += counts[name]
         placed = scan.select(
             "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")

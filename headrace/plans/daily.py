@@ -1,7 +1,9 @@
-"""The daily chain: ingest, mirror, export."""
+"""The daily chain: ingest, mirror, export, merge."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,8 @@ SUMMARY = T.StructType(
     ]
 )
 
+MERGED = T.StructType().add("merge_status", T.StringType()).add("merged_rows", T.LongType())
+
 
 def mirror_pending(
     spark: SparkSession, lake: CommittedTable, mirrored: CommittedTable, destination: str
@@ -48,8 +52,13 @@ def run_daily(
     target: CommittedTable | JdbcTable,
     pattern: str = "*.parquet",
     files_per_commit: int = FILES_PER_COMMIT,
+    merge: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row saying what the run did. A step that fails ends the run; a later run makes up for it."""
+    """One row saying what the run did. A step that fails ends the run; a later run makes up for it.
+
+    ``merge`` is the last step, such as a view's ``rebuild``, which takes up what was exported; its status and
+    row count are then part of the row. A merge that fails says so there, and leaves what was served.
+    """
     new = ingest(spark, source, lake, pattern, files_per_commit)
     outcome = mirror_pending(spark, lake, mirrored, mirror_to)
     if "status" in outcome.columns:
@@ -58,4 +67,8 @@ def run_daily(
         counts = (0, 0)
     exported = export_changes(lake, target)
     rows = exported.rows if exported else 0
-    return one_row(spark, SUMMARY, len(new.files), new.version_before, new.version_after, *counts, rows)
+    done = (len(new.files), new.version_before, new.version_after, *counts, rows)
+    if merge is None:
+        return one_row(spark, SUMMARY, *done)
+    merged = merge().first()
+    return one_row(spark, T.StructType([*SUMMARY, *MERGED]), *done, merged["status"], merged["total_rows"])

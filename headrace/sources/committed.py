@@ -231,9 +231,12 @@ class CommittedTable:
         return self.scan(last=version).drop(VERSION, COMMITTED_AT)
 
     def replaced_since(self, version: int) -> Commit | None:
-        """The commit that replaced the table as of ``version``, if there was one and one has come since."""
-        newest, held = self.latest(), self.latest(version)
-        return self._commit(newest.base) if newest and held and newest.base > held.version else None
+        """The commit that replaced the table as of ``version``, if one has come since.
+
+        Also where what was there then has been given up, or was never there.
+        """
+        newest = self.latest()
+        return self._commit(newest.base) if newest and NONE < version < newest.base else None
 
     def changes(self, first: int, last: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
         """Change feed of the commits first..last: applied to the table as of ``first - 1`` it gives the one of ``last``.

@@ -83,4 +83,4 @@ def customers_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("c_mktsegment", renamed)
 
 
-EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]

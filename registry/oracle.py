@@ -41,24 +41,35 @@ SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
     UNION ALL BY NAME SELECT * FROM benchmark
     UNION ALL BY NAME SELECT * FROM labels
     UNION ALL BY NAME SELECT * FROM conversations)"""
-ORACLE["lake_report"] = """
-SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem)
-           + (SELECT count(*) FROM customer) AS row_count,
-       CAST(3 AS BIGINT) AS file_count, CAST(0 AS BIGINT) AS first_version,
-       CAST(2 AS BIGINT) AS last_version"""
+_ALL = [*NORMALISED, "embeddings"]
+_ALL_ROWS = " + ".join(f"(SELECT count(*) FROM {name})" for name in _ALL)
+ORACLE["lake_report"] = f"""
+SELECT {_ALL_ROWS} AS row_count, CAST({len(_ALL)} AS BIGINT) AS file_count,
+       CAST(0 AS BIGINT) AS first_version, CAST({len(_ALL) - 1} AS BIGINT) AS last_version"""
 ORACLE["change_feed_mixed_types"] = """
 SELECT * FROM orders WHERE o_orderpriority NOT IN ('2-HIGH', '4-NOT SPECIFIED')"""
 ORACLE["full_reload_roundtrip"] = "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM orders"
 ORACLE["mirror_row_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{name}.parquet' AS source_file, 'ok' AS status, count(*) AS row_count FROM {name}"
-    for name in [*NORMALISED, "embeddings"]
+    for name in _ALL
 )
-ORACLE["daily_run"] = """
-SELECT CAST(4 AS BIGINT) AS new_files, CAST(-1 AS BIGINT) AS version_before,
-       CAST(0 AS BIGINT) AS version_after, CAST(4 AS BIGINT) AS mirrored_files,
-       CAST(0 AS BIGINT) AS unmirrored_files,
-       (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem)
-           + (SELECT count(*) FROM customer) + (SELECT count(*) FROM events) AS exported_rows"""
+ORACLE["daily_run"] = f"""
+SELECT CAST({len(_ALL)} AS BIGINT) AS new_files, CAST(-1 AS BIGINT) AS version_before,
+       CAST(0 AS BIGINT) AS version_after, CAST({len(_ALL)} AS BIGINT) AS mirrored_files,
+       CAST(0 AS BIGINT) AS unmirrored_files, {_ALL_ROWS} AS exported_rows"""
+_CORRECTED = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS VARCHAR) AS o_totalprice
+FROM orders WHERE o_orderstatus <> 'P'"""
+ORACLE["export_after_replace"] = _CORRECTED
+_AS_IT_WAS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, {kind} AS _change_type, CAST(1 AS BIGINT) AS _commit_version
+FROM orders WHERE o_orderstatus = '{status}'"""
+ORACLE["change_feed_replaced"] = f"""
+{_AS_IT_WAS.format(kind="'delete'", status="P")}
+UNION ALL {_AS_IT_WAS.format(kind="'update_preimage'", status="F")}
+UNION ALL SELECT *, 'update_postimage', 1 FROM ({_CORRECTED}) WHERE o_orderstatus = 'F'"""
 
 _BATCH = f"(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{RECENT}')"
 _STREAM = f"(SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{RECENT}')"
@@ -97,6 +108,20 @@ FROM {_STREAM}"""
 ORACLE["serving_domain_violations"] = """
 SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
     SELECT *, 'other' AS data_source FROM orders WHERE o_orderstatus = 'O')"""
+ORACLE["serving_checked_load"] = """
+SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
+    SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'batch' ELSE 'stream' END AS data_source
+    FROM orders WHERE o_orderstatus <> 'O' OR o_orderstatus IS NULL)"""
+_LAKE_SIDE = f"""
+SELECT o_custkey, o_orderkey, o_orderpriority, CAST(NULL AS VARCHAR) AS o_orderstatus, o_totalprice,
+       'batch' AS data_source
+FROM {_PARTS}"""
+ORACLE["daily_chain_merged"] = f"""
+{_LAKE_SIDE}
+UNION ALL
+SELECT CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), o_orderpriority, NULL,
+       CAST(o_totalprice AS VARCHAR), 'stream'
+FROM {_STREAM}"""
 ORACLE["keys_in_both"] = f"SELECT o_custkey FROM {_BATCH} INTERSECT SELECT o_custkey FROM {_STREAM}"
 ORACLE["keys_in_either"] = f"SELECT o_custkey FROM {_BATCH} UNION SELECT o_custkey FROM {_STREAM}"
 ORACLE["priorities_listed"] = """
@@ -116,6 +141,7 @@ ORACLE["envelope_rejects"] = """
 SELECT 'not json ' || CAST(event_id AS VARCHAR) AS value FROM events WHERE event_type = 'error'"""
 ORACLE["stream_passthrough"] = "SELECT * FROM events"
 ORACLE["stream_to_table"] = ORACLE["envelope_decode"]
+ORACLE["stream_names_merged"] = f"SELECT {_AS_TEXT} FROM events"
 ORACLE["stream_rejects"] = ORACLE["envelope_rejects"]
 
 ORACLE["changelog_autosync"] = f"""

@@ -111,7 +111,7 @@ def pending_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def lake_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = CommittedTable(spark, scratch(spark, "lake"))
-    ingest(spark, sf_dir, lake, "{orders,lineitem,customer}.parquet", files_per_commit=1)
+    ingest(spark, sf_dir, lake, files_per_commit=1)
     return counts.table_report(lake)
 
 
@@ -142,6 +142,33 @@ def export_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def _corrected_lake(spark: SparkSession, sf_dir: str) -> tuple[CommittedTable, CommittedTable]:
+    """A lake of all orders, exported; then filled ones lose their price and pending ones go, by a replace."""
+    lake = CommittedTable(spark, scratch(spark, "lake"))
+    target = CommittedTable(spark, scratch(spark, "relational"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    lake.commit(normalise(orders))
+    export_changes(lake, target)
+    free = F.when(F.col("o_orderstatus") == "F", 0.0).otherwise(F.col("o_totalprice"))
+    lake.overwrite(normalise(orders.where("o_orderstatus <> 'P'").withColumn("o_totalprice", free)))
+    return lake, target
+
+
+@registered
+def change_feed_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a replace did, by key: rows gone, and both sides of rows that changed."""
+    lake = _corrected_lake(spark, sf_dir)[0]
+    return lake.changes(1, keys=["o_orderkey"]).drop("_commit_timestamp")
+
+
+@registered
+def export_after_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target that was exported to before holds just what the replaced table holds."""
+    lake, target = _corrected_lake(spark, sf_dir)
+    export_changes(lake, target)
+    return target.read()
+
+
 @registered
 def full_reload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table replaces whatever the target held before."""
@@ -167,10 +194,32 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         CommittedTable(spark, scratch(spark, "mirrored")),
         scratch(spark, "mirror"),
         CommittedTable(spark, scratch(spark, "relational")),
-        pattern="{orders,lineitem,customer,events}.parquet",
     )
 
 
+@registered
+def daily_chain_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each delivery goes through the whole chain, up to the merge with what was streamed."""
+    view = _streamed_view(spark, sf_dir)
+    source, mirror = scratch(spark, "source"), scratch(spark, "mirror")
+    lake, mirrored = (CommittedTable(spark, scratch(spark, name)) for name in ("lake", "mirrored"))
+    for part in inputs.source_parts(spark, sf_dir):
+        part.write.mode("append").parquet(source)
+        run_daily(spark, source, lake, mirrored, mirror, view.batch, merge=lambda: view.rebuild(keys=None))
+    return view.read().drop("id")
+
+
+def _streamed_view(spark: SparkSession, sf_dir: str) -> LambdaView:
+    """Recent orders have arrived as messages; there is no history yet."""
+    view = LambdaView(spark, scratch(spark, "view"))
+    stream = inputs.stream_orders(spark, sf_dir)
+    view.serving.create(stream.columns, stream.columns)
+    topic = scratch(spark, "topic")
+    envelope.encode(stream, "orders").write.parquet(topic)
+    view.follow(topics.folder_source(spark, topic), once=True)
+    return view
+
+
 # -- serving --------------------------------------------------------------------------------------
 
 
@@ -220,6 +269,17 @@ def serving_domain_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def serving_checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that carry an origin by their status: those of another origin never become visible."""
+    status = F.col("o_orderstatus")
+    origin = F.when(status == "F", "batch").when(status == "O", "other").otherwise("stream")
+    merged = serving.ServingTable(spark, scratch(spark, "serving"))
+    rows = table(spark, sf_dir, "orders").withColumn("data_source", origin)
+    merged.load(rows, CommittedTable(spark, scratch(spark, "violations")))
+    return merged.read().drop("id")
+
+
 @registered
 def keys_in_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch, stream = inputs.batch_orders(spark, sf_dir), inputs.stream_orders(spark, sf_dir)
@@ -295,6 +355,19 @@ def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed_to_table(spark, _message_topic(spark, sf_dir))[0]
 
 
+@registered
+def stream_names_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose producers spell the same fields differently, in one micro-batch."""
+    events = table(spark, sf_dir, "events")
+    plain, shout = events.where("event_type <> 'error'"), events.where("event_type = 'error'")
+    shouted = shout.toDF(*(name.upper() for name in shout.columns))
+    topic = scratch(spark, "topic")
+    envelope.encode(plain, "events").unionByName(envelope.encode(shouted, "events")).write.parquet(topic)
+    stored = CommittedTable(spark, scratch(spark, "stream"))
+    topics.run(table_sink(topics.folder_source(spark, topic), StreamToTable(stored)), scratch(spark, "checkpoint"), once=True)
+    return stored.read()
+
+
 @registered
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages that the same stream set aside."""

@@ -11,7 +11,7 @@ def stored(spark, path, n, files):
 
 
 @pytest.mark.parametrize(
-    ("listed", "limit"), [(1000, 0), (2, 10**9), (2, 0)], ids=["listed", "grouped, broadcast", "grouped, shuffled"]
+    ("listed", "limit"), [(1000, 0), (2, 10**9), (2, 0)], ids=["listed", "ranged, broadcast", "ranged, shuffled"]
 )
 def test_ids_are_dense_and_follow_the_scans(spark, place, monkeypatch, listed, limit):
     monkeypatch.setattr(numbering, "LISTED_FILES", listed)
@@ -55,3 +55,19 @@ def test_rows_are_not_shuffled(spark, place, monkeypatch, listed):
     plan = numbered["s"]._jdf.queryExecution().executedPlan().toString()
     rows_side = plan.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in rows_side and "Exchange hashpartitioning" not in rows_side
+
+
+def test_ids_are_the_same_for_any_number_of_files(spark, place, monkeypatch):
+    path = place()
+    stored(spark, path, 2000, 40)
+    found = []
+    for listed in (1000, 3):
+        monkeypatch.setattr(numbering, "LISTED_FILES", listed)
+        scan = spark.read.parquet(path)
+        numbered, _ = number_rows({"s": scan})
+        in_place = scan.select("k", "_metadata.file_path", "_metadata.row_index").collect()
+        assert {r["k"]: r["id"] for r in numbered["s"].collect()} == {
+            r["k"]: n for n, r in enumerate(sorted(in_place, key=lambda r: (r["file_path"], r["row_index"])), 1)
+        }
+        found.append({r["k"]: r["id"] for r in numbered["s"].collect()})
+    assert found[0] == found[1]

@@ -1,0 +1,84 @@
+import os
+import shutil
+
+from headrace.operators.retention import give_back, give_back_scratch, give_back_serving, unrecorded
+from headrace.operators.serving import ServingTable
+from headrace.plans.export import export_changes
+from headrace.sources.committed import CommittedTable
+from headrace.streaming.tables import StreamToTable
+from tests.conftest import rows
+from tests.test_envelope import message, values
+
+
+def text(spark, *given):
+    return spark.createDataFrame([(v,) for v in given], "k STRING")
+
+
+def held(table):
+    return sorted(int(name.split("=")[1]) for name in os.listdir(table.data) if "=" in name)
+
+
+def test_replaced_commits_go_and_the_rest_stays(spark, place):
+    table = CommittedTable(spark, place())
+    assert give_back(table) == []
+    for value in "12":
+        table.commit(text(spark, value))
+    assert give_back(table) == [] and held(table) == [0, 1]
+    table.overwrite(text(spark, "3"))
+    table.commit(text(spark, "4"))
+    assert give_back(table, keep_from=1) == [], "version 1 is still to be read"
+    assert rows(table.read(1)) == [("1",), ("2",)]
+    assert give_back(table) == [0, 1] and held(table) == table.versions() == [2, 3]
+    assert rows(table.read()) == [("3",), ("4",)] and rows(table.changes(0), "k") == [("3",), ("4",)]
+    table.overwrite(text(spark, "5"))
+    assert rows(table.changes(4), "_change_type", "k") == [("delete", "3"), ("delete", "4"), ("insert", "5")]
+
+
+def test_given_up_attempts_go_and_one_that_is_being_written_stays(spark, place):
+    table = CommittedTable(spark, place())
+    for n in range(4):
+        table.commit(text(spark, str(n)))
+    shutil.rmtree(f"{table.records}/record=1")
+    text(spark, "in writing").write.parquet(f"{table.data}/commit_version=4")
+    assert unrecorded(table) == [1]
+    assert give_back(table) == [1] and held(table) == [0, 2, 3, 4]
+    assert rows(table.read()) == [("0",), ("2",), ("3",)]
+
+
+def test_an_export_goes_on_after_space_was_given_back(spark, place):
+    lake, target = CommittedTable(spark, place()), CommittedTable(spark, place())
+    lake.commit(text(spark, "1"))
+    export_changes(lake, target)
+    lake.overwrite(text(spark, "2"))
+    lake.commit(text(spark, "3"))
+    give_back(lake)
+    export_changes(lake, target)
+    assert rows(target.read()) == [("2",), ("3",)]
+
+
+def test_serving_keeps_what_its_snapshots_need(spark, place):
+    serving, stream = ServingTable(spark, place()), CommittedTable(spark, place())
+    serving.create(["k"], ["k"])
+    step = StreamToTable(stream, serving=serving)
+    for n in range(5):
+        step(values(spark, message({"k": str(n)})), n)
+        if n in (1, 3):
+            serving.merge(text(spark, "b"), stream)
+    before = rows(serving.read())
+    assert [r[0] for r in before] == [1, 2, 3, 4, 5, 6]
+    dropped = give_back_serving(serving, snapshots=2)
+    assert dropped == {"snapshots": [0], "live": [0]} and rows(serving.read()) == before
+    assert rows(serving.read_before(serving.snapshots.latest()), "k") == [("0",), ("1",), ("2",), ("3",), ("b",)]
+    dropped = give_back_serving(serving, snapshots=1)
+    assert dropped == {"snapshots": [1], "live": [1, 2]} and rows(serving.read()) == before
+    step(values(spark, message({"k": "5"})), 5)
+    assert rows(serving.read(), "id", "k")[-1] == (7, "5")
+
+
+def test_scratch_of_ended_applications(spark, place):
+    root = place()
+    own = spark.conf.get("spark.app.id")
+    for name in (own, "ended-1", "running-1"):
+        os.makedirs(f"{root}/headrace/{name}/some")
+    assert give_back_scratch(spark, root, ("running-1",)) == ["ended-1"]
+    assert sorted(os.listdir(f"{root}/headrace")) == sorted([own, "running-1"])
