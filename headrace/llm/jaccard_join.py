@@ -3,13 +3,13 @@
 Documents are sets of word shingles; two link at a Jaccard similarity of at least ``PERCENT`` %.
 
 * *Equal sets* are one node from the start.
-* *Index.* Shingles have one global order: the very frequent ones last, from rare to frequent, all
-  others by fingerprint. Linked sets share a shingle among the first |x| - ceil(0.85 |x|) + 1 of each,
+* *Index.* Shingles have one global order: the frequent ones last, from rare to frequent, as counted over
+  all shingles of all sets, and all others by fingerprint. Linked sets share a shingle among the first |x| - ceil(0.85 |x|) + 1 of each,
   so only those are indexed, each with its position. Lists are cut into blocks by size class and by
   band of positions; a set only visits blocks whose sizes and positions leave room for the overlap
   that is needed, and skips all others.
-* *Answers from similar sets.* First every set is compared with one leader of each block it stands
-  in. Sets that hang together are then known to be one group, and no pair inside a group is looked
+* *Answers from similar sets.* First every set is compared with one leader of each list it stands
+  in: the one of its size class with the fewest rarer shingles, so copies meet in what they share. Sets that hang together are then known to be one group, and no pair inside a group is looked
   at again: whole lists of one group are dropped, and of the other lists, the sets outside the
   list's largest group visit the rest. Only groups are asked for, so no answer is lost.
 
@@ -33,6 +33,7 @@ from headrace.llm.shingles import WORDS, mixed, shingle_sets
 
 PERCENT = 85
 FREQUENT = 1 << 16  # so many of the most frequent shingles are ordered by frequency
+COUNTED = 1 << 21  # shingles counted together by a worker, 16 MB
 BANDS = 4
 BITS = 4096
 _SUM = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -53,26 +54,59 @@ def _needed(percent: int) -> str:
     return f"ceil({percent} * (x.size + y.size) / {100 + percent}D - 1e-9)"
 
 
-def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, key, size, set_id, prefix): set_id is null for an empty set."""
+def _repeated(sets: list[np.ndarray], ids: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of two or more different ones of the sets given, and of how many."""
+    one_each = {i: s for i, s in zip(ids, sets, strict=True) if i is not None}
+    if len(one_each) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    tokens = np.sort(np.concatenate(list(one_each.values())))
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    times = np.diff(np.append(first, len(tokens)))
+    return tokens[first[times > 1]].view(np.int64), times[times > 1]
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, key, size, set_id, tokens, times): set_id is null for an empty set.
+
+    Workers count all shingles of about ``COUNTED`` at a time; one row of these has, as ``tokens`` and
+    ``times``, those that occur in several of its sets. A shingle that is frequent in the table is so there too.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, sets, held = [], [], 0
+
+        def counted() -> pd.DataFrame:
+            ids = [set_print(s) if len(s) else None for s in sets]
+            tokens, times = _repeated(sets, ids)
+            none = [np.zeros(0, np.int64)] * (len(sets) - 1)
+            some = pd.concat(rows, ignore_index=True)
+            return pd.DataFrame(
+                {
+                    "doc_id": some["doc_id"].to_numpy(),
+                    "key": some["key"].to_numpy(),
+                    "size": [len(s) for s in sets],
+                    "set_id": pd.array(ids, dtype="Int64"),
+                    "tokens": [tokens, *none],
+                    "times": [times, *none],
+                }
+            )
+
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
-                sets = shingle_sets(list(part["text"]), words)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "key": part["key"].to_numpy(),
-                        "size": [len(s) for s in sets],
-                        "set_id": pd.array([set_print(s) if len(s) else None for s in sets], dtype="Int64"),
-                        "prefix": [s[: prefix_length(len(s), percent)].view(np.int64) if len(s) else [] for s in sets],
-                    }
-                )
+                rows.append(part[["doc_id", "key"]])
+                sets += shingle_sets(list(part["text"]), words)
+                held += sum(map(len, sets[-len(part) :]))
+                if held >= COUNTED:
+                    yield counted()
+                    rows, sets, held = [], [], 0
+        if rows:
+            yield counted()
 
     plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_key(F.col("text")).alias("key"), "text")
-    out = plain.mapInPandas(read, "doc_id string, key bigint, size bigint, set_id bigint, prefix array<bigint>")
+    out = plain.mapInPandas(
+        read, "doc_id string, key bigint, size bigint, set_id bigint, tokens array<bigint>, times array<bigint>"
+    )
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
@@ -186,11 +220,11 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    base = stored(_sets(docs, words, percent), "sets")
+    base = stored(_sets(docs, words), "sets")
     one_each = base.where("set_id is not null")
 
-    counts = one_each.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 64")
-    top = counts.orderBy(F.desc("count"), "token").limit(FREQUENT).collect()
+    counts = base.select(F.explode(F.arrays_zip("tokens", "times")).alias("c")).groupBy(F.col("c.tokens").alias("token")).agg(F.sum("c.times").alias("n"))
+    top = counts.where("n > 16").orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
     frequent = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
     width = math.log(100 / (percent - 1))
     index = stored(_postings(docs, frequent, words, percent), "index")
@@ -206,11 +240,12 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
 
     needed = _needed(percent)
     fits = f"x.size - x.pos >= {needed} and y.size - y.pos >= {needed}"
-    leaders = index.groupBy("token", "class").agg(F.min(F.struct("set_id", "size", "pos")).alias("y"))
+    # the set that has least before the shingle: of similar sets, the one nearest to what they share
+    leaders = index.groupBy("token", "class").agg(F.min(F.struct("pos", "set_id", "size")).alias("y"))
     first = (
         index.alias("x")
-        .join(leaders.select("token", "class", "y.*").alias("y"), F.expr("x.token = y.token and x.class = y.class and y.set_id < x.set_id and " + fits))
-        .select(F.col("y.set_id").alias("a"), F.col("x.set_id").alias("b"))
+        .join(leaders.select("token", "class", "y.*").alias("y"), F.expr("x.token = y.token and x.class = y.class and y.set_id <> x.set_id and " + fits))
+        .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
         .distinct()
     )
     links = _linked(first, docs, base, words, percent)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from headrace.llm import sharding
+from headrace.llm import jaccard_join, sharding
 from headrace.llm.anchors import anchors
 from headrace.llm.common import table
 from headrace.llm.components import components
@@ -85,6 +85,37 @@ def _shingles(text):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
 
 
+def _pairs_compared(monkeypatch, df):
+    """How many pairs the join makes, and its groups."""
+    made, write = [], jaccard_join.stored
+
+    def counted(frame, purpose):
+        out = write(frame, purpose)
+        if purpose == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    found = groups(df).select("group_id").distinct().count()
+    monkeypatch.undo()
+    return sum(made), found
+
+
+def test_pairs_grow_with_the_rows(spark, monkeypatch):
+    line = "this line stands in every one of all the documents here"
+    base = [f"w{i}" for i in range(150)]
+    for n in (150, 300):
+        unlike = [(i, f"{line} a{i} b{i} c{i}") for i in range(n)]
+        copies = []
+        for i in range(n):
+            words = list(base)
+            words[i % 150] = f"own{i}"  # each has an edit of its own, in a place of its own
+            copies.append((1000 + i, " ".join(words)))
+        df = spark.createDataFrame(unlike + copies, "doc_id long, text string").repartition(4)
+        pairs, found = _pairs_compared(monkeypatch, df)
+        assert found == n + 1 and pairs <= 12 * n
+
+
 def test_groups_match_all_pairs(spark, edge):
     base = " ".join(f"w{i}" for i in range(120)).split()
     rng = np.random.default_rng(4)
