@@ -1,11 +1,13 @@
 """Harmonic packing of tokenized documents into sequences of at most ``CAPACITY`` tokens.
 
 Lengths belong to reciprocal-capacity classes: class j holds lengths over capacity/(j+1) and up to
-capacity/j, and a bin of class j takes exactly j of them. A document is cut into whole capacities
-and then at the binary digits of the rest, so that every length meets its class's upper end and a
-full bin has no padding. Classes fill independently of each other and of other workers: a task
-keeps one open bin per class and no row ever leaves it, so there is no shuffle. A task's last,
-partly filled bins are divided into sequences whose lengths are powers of two, which are not padded.
+capacity/j, and a bin of class j takes exactly j whole documents; lengths of the last class share a
+bin as long as they fit. Classes fill independently of each other and of other workers: a task keeps
+one open bin per class and no row ever leaves it, so there is no shuffle. What a full bin has left is
+given to later documents: to one that fits whole, or else, when the gaps of a task have come to a
+sequence together, by cutting the next document into them. Otherwise only documents over a whole sequence
+are cut. A task's last bins are filled from each other, and what still is not full is divided into sequences
+whose lengths are powers of two, which are not padded.
 
 Sequence ids carry the partition's number. Which rows share a partition does not matter to what holds
 inside it, so a task that is run again yields whole sequences again.
@@ -14,7 +16,10 @@ inside it, so a task that is run again yields whole sequences again.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
+from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -22,10 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm.word_ids import WordIds
+from headrace.llm.pre_tokens import PreTokenIds
 
 CAPACITY = 4096
 END_ID = 2
+CLASSES = 64  # lengths up to capacity / CLASSES are one class
+GAPS = 64  # bins with gaps that a task keeps
 TEXTS_AT_ONCE = 256
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -33,22 +40,6 @@ PIECES = (
 )
 
 
-def word_encoder(path: str) -> WordIds:
-    """Ids by the tokenizer file, no special tokens added.
-
-    The tokenizer drops white space before it merges and nothing reaches across it, so a text's ids
-    are its words' ids. Words are parted at spaces and line feeds only.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    return WordIds(lambda words: [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
-
-
-def words_of(text: str | None) -> list[str]:
-    return [w for w in (text or "").replace("\n", " ").split(" ") if w]
-
-
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
     """Whole capacities, then the powers of two that make up the rest, largest first."""
     rest = n % capacity
@@ -56,32 +47,99 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
     return [capacity] * (n // capacity) + digits
 
 
-class Bins:
-    """One open bin for each length; ``add`` and ``close`` return the rows of finished sequences."""
+@dataclass(slots=True, frozen=True)
+class Piece:
+    """Ids ``start`` to ``stop`` of one document."""
+
+    doc_id: int | None
+    ids: np.ndarray
+    start: int
+    stop: int
 
-    def __init__(self, first_id: int, capacity: int = CAPACITY):
-        self._open: dict[int, list[tuple]] = {}
-        self._next, self._capacity = first_id, capacity
+    def __len__(self) -> int:
+        return self.stop - self.start
 
-    def _sequence(self, pieces: list[tuple], length: int) -> list[tuple]:
-        rows = [(*p, self._next, i * length) for i, p in enumerate(pieces)]
+    def parted(self, n: int) -> tuple[Piece, Piece]:
+        """The first ``n`` ids, and the rest."""
+        middle = self.start + n
+        return Piece(self.doc_id, self.ids, self.start, middle), Piece(self.doc_id, self.ids, middle, self.stop)
+
+
+class Bins:
+    """One open bin for each class, and full ones with gaps; ``add`` and ``close`` return finished rows."""
+
+    def __init__(self, first_id: int, capacity: int = CAPACITY, classes: int = CLASSES, gaps: int = GAPS):
+        self._next, self._capacity, self._classes, self._most = first_id, capacity, classes, gaps
+        self._open: dict[int, list[Piece]] = {}
+        self._gaps: list[tuple[int, list[Piece]]] = []  # free ids and pieces, smallest gap first
+        self._free = 0
+
+    def _sequence(self, pieces: list[Piece]) -> list[tuple]:
+        rows, offset = [], 0
+        for p in pieces:
+            crc = zlib.crc32(p.ids[p.start : p.stop].tobytes())
+            rows.append((p.doc_id, p.start, len(p), crc, len(p.ids), self._next, offset))
+            offset += len(p)
         self._next += 1
         return rows
 
-    def add(self, length: int, piece: tuple) -> list[tuple]:
-        held = self._open.setdefault(length, [])
-        held.append(piece)
-        if len(held) < self._capacity // length:
+    def _closed(self, pieces: list[Piece]) -> list[tuple]:
+        free = self._capacity - sum(map(len, pieces))
+        if not free:
+            return self._sequence(pieces)
+        insort(self._gaps, (free, pieces), key=itemgetter(0))
+        self._free += free
+        return []
+
+    def _fill(self, at: int, piece: Piece) -> list[tuple]:
+        """Put a piece that fits into this gap."""
+        free, pieces = self._gaps.pop(at)
+        self._free -= free
+        return self._closed([*pieces, piece])
+
+    def add(self, doc_id: int | None, ids: np.ndarray) -> list[tuple]:
+        piece, rows = Piece(doc_id, ids, 0, len(ids)), []
+        while len(piece) >= self._capacity:
+            whole, piece = piece.parted(self._capacity)
+            rows += self._sequence([whole])
+        if not len(piece):
+            return rows
+        fitting = bisect_left(self._gaps, len(piece), key=itemgetter(0))
+        if fitting < len(self._gaps):
+            return rows + self._fill(fitting, piece)
+        if self._free >= self._capacity or len(self._gaps) >= self._most or len(ids) > self._capacity:
+            while len(piece) and self._gaps:  # larger than any gap: the largest ones are filled first
+                part, piece = piece.parted(min(len(piece), self._gaps[-1][0]))
+                rows += self._fill(len(self._gaps) - 1, part)
+        return rows + self._placed(piece) if len(piece) else rows
+
+    def _placed(self, piece: Piece) -> list[tuple]:
+        kind = min(self._capacity // len(piece), self._classes)
+        held = self._open.setdefault(kind, [])
+        if kind < self._classes:
+            held.append(piece)
+            return self._closed(self._open.pop(kind)) if len(held) == kind else []
+        if sum(map(len, held)) + len(piece) <= self._capacity:
+            held.append(piece)
             return []
-        self._open[length] = []
-        return self._sequence(held, length)
+        self._open[kind] = [piece]
+        return self._closed(held)
 
     def close(self) -> list[tuple]:
-        rows: list[tuple] = []
-        for length, held in self._open.items():
-            for size in cut_lengths(len(held), self._capacity):
-                rows += self._sequence(held[:size], length)
-                held = held[size:]
+        rest, rows = [p for held in self._open.values() for p in held], []
+        self._open = {}
+        waiting = [pieces for _, pieces in self._gaps] + ([rest] if rest else [])
+        self._gaps, self._free = [], 0
+        # one after another, cut where a sequence is full; the last one at the binary digits of its length
+        pieces = [p for held in waiting for p in held]
+        for length in cut_lengths(sum(map(len, pieces)), self._capacity):
+            taken: list[Piece] = []
+            while length:
+                part, left = pieces[0].parted(min(length, len(pieces[0])))
+                taken.append(part)
+                length -= len(part)
+                pieces[:1] = [left] if len(left) else []
+            rows += self._sequence(taken)
         return rows
 
 
@@ -96,26 +154,20 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         raise ValueError("capacity must be a power of two")
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = word_encoder(tokenizer_path)
+        tokens = PreTokenIds(tokenizer_path)
         bins = Bins(TaskContext.get().partitionId() << 40, capacity)
         names = [c.split()[0] for c in PIECES.split(", ")]
 
         def frame(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            return pd.DataFrame({name: pd.array(c, "Int64") for name, c in zip(names, zip(*rows, strict=True), strict=True)})
 
         for batch in batches:
             for at in range(0, len(batch), TEXTS_AT_ONCE):
                 part = batch.iloc[at : at + TEXTS_AT_ONCE]
-                split = [words_of(t) for t in part["text"]]
-                words.learn(split)
                 rows: list[tuple] = []
-                for doc_id, own in zip(part["doc_id"], split, strict=True):
-                    ids = np.append(words.ids(own), np.uint32(end_id)).astype("<u4")
-                    doc_id, start = None if pd.isna(doc_id) else int(doc_id), 0
-                    for length in cut_lengths(len(ids), capacity):
-                        crc = zlib.crc32(ids[start : start + length].tobytes())
-                        rows += bins.add(length, (doc_id, start, length, crc, len(ids)))
-                        start += length
+                for doc_id, own in zip(part["doc_id"], tokens.ids([t or "" for t in part["text"]]), strict=True):
+                    ids = np.append(own, np.uint32(end_id)).astype("<u4")
+                    rows += bins.add(None if pd.isna(doc_id) else int(doc_id), ids)
                 if rows:
                     yield frame(rows)
         if rows := bins.close():

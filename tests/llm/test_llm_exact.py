@@ -15,6 +15,7 @@ from headrace.llm.decontaminate import decontaminate
 from headrace.llm.induced_sort import equal_windows, suffix_order
 from headrace.llm.jaccard_join import groups
 from headrace.llm.packing import Bins, cut_lengths, pack
+from headrace.llm.pre_tokens import PreTokenIds
 from headrace.llm.queries import QUERIES, tokenizer_path
 from headrace.llm.suffix_dedup import _part_of, deduplicate
 from headrace.llm.token_counts import count_tokens
@@ -229,15 +230,50 @@ def test_hot_anchors_are_no_part_of_the_sort(spark, monkeypatch):
     assert text_of == {(d, *v) for (d, _), v in want.items()}
 
 
-def test_cut_lengths_and_bins():
+def test_cut_lengths():
     assert cut_lengths(4096 * 2 + 37, 4096) == [4096, 4096, 32, 4, 1]
-    bins = Bins(0, 8)
-    rows = [r for _ in range(7) for r in bins.add(2, ("p",))] + bins.close()
-    ends = defaultdict(int)
-    for _, seq, offset in rows:
-        assert offset == ends[seq]
-        ends[seq] += 2
-    assert sorted(ends.values()) == [2, 4, 8]
+
+
+@pytest.mark.parametrize("gaps, classes", [(64, 64), (2, 3)])
+def test_bins_keep_documents_whole_and_leave_no_padding(gaps, classes):
+    rng = np.random.default_rng(gaps)
+    docs = [np.arange(n, dtype="<u4") for n in np.minimum(rng.geometric(0.03, 3000), 300)] + [np.arange(1, dtype="<u4")]
+    bins = Bins(5, 64, classes, gaps)
+    rows = [r for i, ids in enumerate(docs) for r in bins.add(i, ids)]
+    assert len(bins._gaps) <= gaps
+    rows += bins.close()
+    ends, starts, pieces = defaultdict(int), defaultdict(int), defaultdict(int)
+    for doc_id, start, length, crc, total, seq, offset in rows:
+        assert (offset, total) == (ends[seq], len(docs[doc_id])) and seq >= 5
+        assert crc == zlib.crc32(docs[doc_id][start : start + length].tobytes())
+        ends[seq] += length
+        pieces[doc_id] += 1
+    for doc_id, start, length, *_ in sorted(rows):
+        assert start == starts[doc_id]
+        starts[doc_id] += length
+    assert [starts[i] for i in range(len(docs))] == [len(d) for d in docs]
+    assert all(n <= 64 and n & (n - 1) == 0 for n in ends.values())
+    fitting = [i for i, d in enumerate(docs) if len(d) <= 64]
+    if gaps == 64:
+        assert sum(pieces[i] > 1 for i in fitting) < 0.25 * len(fitting)
+
+
+def test_pre_tokens_match_the_library():
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tokenizer, draw = Tokenizer.from_file(path), random.Random(1)
+    chars = [chr(c) for c in range(0x250)]
+    texts = ["".join(draw.choice(chars) for _ in range(draw.randrange(40))) for _ in range(1000)]
+    texts += ["".join(draw.choice(chars[:0x180]) for _ in range(draw.randrange(40))) for _ in range(2000)]
+    texts += ["".join(draw.choice("'sStTrReEvVmMlLdD aA\u00e9.,!\u00b29\x1c\x85\xa0\n\t<|>") for _ in range(30)) for _ in range(2000)]
+    texts += [f"a{c}b {c} {c}{c}9" for c in chars] + ["x<|endoftext|>y", "\u03a3\u03b1\u03c2 \u039f\u0394\u039f\u03a3", "\u0130i", "\u65e5\u672c \u00e9a", "", " "]
+    for kept in (10**6, 500):  # 500: given up and learnt again
+        ids = PreTokenIds(path, kept)
+        got = [list(x) for at in range(0, len(texts), 100) for x in ids.ids(texts[at : at + 100])]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_packing_matches_the_library(spark, edge):
