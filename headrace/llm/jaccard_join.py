@@ -229,9 +229,8 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     width = math.log(100 / (percent - 1))
     index = stored(_postings(docs, frequent, words, percent), "index")
     lists = index.groupBy("token").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most")
-    lists = small_side(stored(lists.select("token"), "shared-shingles"), 48)
     index = (
-        index.join(lists, "token")
+        index.join(stored(lists.select("token"), "shared-shingles"), "token")
         .distinct()
         .withColumn("class", F.floor(F.log(F.col("size")) / width).cast("int"))
         .withColumn("band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int"))
