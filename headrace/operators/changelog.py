@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,23 +38,27 @@ def keyed_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     """``op, before, after`` for every key whose row differs between two snapshots.
 
     Only rows that differ are brought together by key. A key with more than one removed or one added
-    row cannot be told as a single change and is an error; ``row_changes`` needs no keys.
+    row cannot be told as a single change and is an error; ``row_changes`` needs no keys. A null in a
+    key equals nothing, as in a join: such rows are created or deleted, each copy for itself.
     """
     row, gone, came = _row(before.columns), F.col("_n") < 0, F.col("_n") > 0
-    by_key = _surplus(before, after).groupBy(*map(field, keys)).agg(
+    nameless = reduce(or_, (field(name).isNull() for name in keys))
+    by_key = _surplus(before, after).groupBy(*map(field, keys), F.when(nameless, row).alias("_alone")).agg(
         F.first(F.when(gone, row), ignorenulls=True).alias("before"),
         F.first(F.when(came, row), ignorenulls=True).alias("after"),
         F.max(F.abs("_n")).alias("copies"),
         F.greatest(F.count_if(gone), F.count_if(came)).alias("rows"),
     )
-    repeated = (F.col("copies") > 1) | (F.col("rows") > 1)
+    repeated = F.col("_alone").isNull() & ((F.col("copies") > 1) | (F.col("rows") > 1))
     op = (
         F.when(repeated, F.raise_error(F.lit("a changed key occurs more than once")).cast("string"))
         .when(F.col("before").isNull(), CREATED)
         .when(F.col("after").isNull(), DELETED)
         .otherwise(UPDATED)
     )
-    return by_key.select(op.alias("op"), "before", "after")
+    events = by_key.select(op.alias("op"), "before", "after", F.when(F.col("_alone").isNotNull(), F.col("copies")).alias("_copies"))
+    each = events.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_copies", F.lit(1)).cast("bigint"))))
+    return each.select("op", "before", "after")
 
 
 def row_changes(before: DataFrame, after: DataFrame, copies_per_task: int = COPIES_PER_TASK) -> DataFrame:

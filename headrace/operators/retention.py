@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from headrace.operators.serving import ServingTable
 from headrace.sources.committed import NONE, RECORD_KEY, VERSION, CommittedTable
@@ -29,7 +30,13 @@ def _drop(spark: SparkSession, location: str) -> None:
 
 
 def _forget(table: CommittedTable, versions: list[int]) -> None:
-    """Records, newest first: what is left is always a table as of some version."""
+    """Records, newest first: what is left is always a table as of some version.
+
+    The source files they list are noted first, for they must not be taken as new again.
+    """
+    if versions:
+        files = table.log().where(F.col(VERSION) <= max(versions)).select(F.explode("files").alias("path"), VERSION)
+        files.write.mode("overwrite").parquet(f"{table.taken}/through={max(versions)}")
     for version in sorted(versions, reverse=True):
         _drop(table.spark, f"{table.records}/{RECORD_KEY}={version}")
         _drop(table.spark, f"{table.data}/{VERSION}={version}")

@@ -105,6 +105,7 @@ class CommittedTable:
         self.location = location.rstrip("/")
         self.data = f"{self.location}/data"
         self.records = f"{self.location}/commits"
+        self.taken = f"{self.location}/taken"  # source files of commits whose records are gone
 
     # -- what is there ---------------------------------------------------------------------------
 
@@ -144,8 +145,14 @@ class CommittedTable:
         return self.schema().names
 
     def source_files(self) -> DataFrame:
-        """Path and version of every source file committed so far."""
-        return self.log().select(F.explode("files").alias("path"), VERSION)
+        """Path and version of every source file committed so far, also by commits that were given up."""
+        known = self.log().select(F.explode("files").alias("path"), VERSION)
+        try:
+            return known.unionByName(self.spark.read.schema(known.schema).parquet(self.taken).select(known.columns)).distinct()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return known
 
     # -- writing ---------------------------------------------------------------------------------
 

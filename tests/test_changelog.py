@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from headrace.operators import changelog
+from headrace.operators.changelog import keyed_changes
 from tests.conftest import rows
 
 values = st.one_of(st.none(), st.sampled_from("xyz"))
@@ -93,3 +94,13 @@ def test_messages(spark):
 
 def test_created_keeps_all_rows(spark):
     assert rows(changelog.created(spark.range(3)).select("op", "after.id")) == [("c", 0), ("c", 1), ("c", 2)]
+
+
+def test_a_null_key_equals_nothing(spark):
+    before = spark.createDataFrame([(None, "a"), (None, "same"), (1, "x"), (None, "b")], "k LONG, v STRING")
+    after = spark.createDataFrame([(None, "A"), (None, "same"), (1, "y"), (None, "A")], "k LONG, v STRING")
+    got = [(r["op"], r["before"] and r["before"]["v"], r["after"] and r["after"]["v"]) for r in keyed_changes(before, after, ["k"]).collect()]
+    assert sorted(got, key=str) == [("c", None, "A"), ("c", None, "A"), ("d", "a", None), ("d", "b", None), ("u", "x", "y")]
+    two = ["k", "v"]
+    got = [r["op"] for r in keyed_changes(before, after, two).collect()]
+    assert sorted(got) == ["c", "c", "c", "d", "d", "d"]

@@ -4,10 +4,12 @@ import shutil
 from headrace.operators.retention import give_back, give_back_scratch, give_back_serving, unrecorded
 from headrace.operators.serving import ServingTable
 from headrace.plans.export import export_changes
+from headrace.plans.ingest import ingest
 from headrace.sources.committed import CommittedTable
 from headrace.streaming.tables import StreamToTable
 from tests.conftest import rows
 from tests.test_envelope import message, values
+from tests.test_files import add_file
 
 
 def text(spark, *given):
@@ -56,6 +58,19 @@ def test_an_export_goes_on_after_space_was_given_back(spark, place):
     assert rows(target.read()) == [("2",), ("3",)]
 
 
+def test_files_of_dropped_commits_are_not_new_again(spark, place):
+    folder, lake = place(), CommittedTable(spark, place())
+    add_file(spark.range(3), folder, "a")
+    ingest(spark, folder, lake)
+    lake.overwrite(spark.sql("SELECT 'corrected' AS id"))
+    assert give_back(lake) == [0] and not ingest(spark, folder, lake).has_new_data
+    add_file(spark.range(2), folder, "b")
+    assert len(ingest(spark, folder, lake).files) == 1
+    lake.overwrite(spark.sql("SELECT 'again' AS id"))
+    assert give_back(lake) == [1, 2] and not ingest(spark, folder, lake).has_new_data
+    assert lake.source_files().count() == 2 and rows(lake.read()) == [("again",)]
+
+
 def test_serving_keeps_what_its_snapshots_need(spark, place):
     serving, stream = ServingTable(spark, place()), CommittedTable(spark, place())
     serving.create(["k"], ["k"])
