@@ -1,0 +1,193 @@
+"""Edge cases of the fitted operators, a plain Feistel network, and the whole pipeline on planted rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from headrace.llm import page_text, quality, sharding, toxicity
+from headrace.llm.queries import tokenizer_path
+from tests.llm.test_llm_exact import _leaks, _shingles
+from tests.llm.test_llm_models import BAD, GOOD, PAGE
+
+CLASSIFIERS = [(quality.quality, "quality"), (toxicity.toxicity, "toxic")]
+CLASHING = "doc_id long, text string, score string, predicted string, y string, key string"
+
+
+@pytest.mark.parametrize(("classify", "label"), CLASSIFIERS)
+def test_scores_of_odd_rows(spark, classify, label):
+    long = "river mill letter captain " * 50_000
+    rows = [(1, None), (2, ""), (3, GOOD[0] % 1), (3, GOOD[0] % 1), (None, BAD[0] % 2), (None, None), (4, long), (5, " \n\t")]
+    docs = spark.createDataFrame([(*r, "clash", "clash", "clash", "kept") for r in rows], CLASHING).repartition(3)
+    known = spark.createDataFrame([(i, (GOOD if i % 2 else BAD)[0] % i) for i in range(100, 160)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100, 160)] + [(None, 1), (100, None)], f"doc_id long, {label} int")
+    got = classify(docs, known, labels)
+    out = got.collect()
+    assert Counter((r["doc_id"], r["text"], r["key"]) for r in out) == Counter((*r, "kept") for r in rows)
+    # columns named like the result give way to it
+    assert all(isinstance(r["score"], float) and 0 <= r["score"] <= 1 for r in out)
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in out)
+    by_text = defaultdict(set)
+    for r in out:
+        by_text[r["text"] or ""].add(r["score"])
+    assert all(len(scores) == 1 for scores in by_text.values())
+    assert classify(docs.limit(0), known, labels).count() == 0
+    assert classify(docs, known.limit(0), labels).count() == len(rows)
+
+
+def test_main_text_of_odd_rows(spark):
+    long = PAGE.replace("Last one.", "word " * 100_000 + "end.")
+    rows = [(i, f"u{i}", PAGE % (i, i, i)) for i in range(60)]
+    rows += [(1, "again", PAGE % (1, 1, 1)), (1, "u1", PAGE % (1, 1, 1)), (None, None, None), (None, None, ""), (200, "long", long % (7, 7, 7))]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
+    out = page_text.extract(df.select("page_id", "url", "html", "text")).collect()
+    assert Counter((r["page_id"], r["url"]) for r in out) == Counter(r[:2] for r in rows)
+    texts = {r["url"]: r["text"] for r in out}
+    assert texts["again"] == texts["u1"] != "clash" and texts[None] == ""
+    assert texts["long"].endswith("word end.") and len(texts["long"]) > 500_000
+
+
+def _plain_permute(number, n, seed):
+    """The network in whole numbers: halves of equal bits, six rounds, again while the place is too high."""
+    bits = max(1, ((max(n, 2) - 1).bit_length() + 1) // 2)
+    keys = [int(k) for k in np.random.Generator(np.random.PCG64(seed)).integers(0, 2**63, 6)]
+
+    def mixed(half, key):
+        x = (half + key) % 2**64
+        for _ in range(2):
+            x = (x ^ (x >> 29)) * 0xD6E8FEB86659FD93 % 2**64
+        return x ^ (x >> 32)
+
+    while True:
+        left, right = number >> bits, number % 2**bits
+        for key in keys:
+            left, right = right, left ^ (mixed(right, key) % 2**bits)
+        number = left << bits | right
+        if number < n:
+            return number
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 250])
+def test_permutation_matches_a_plain_network(n):
+    assert sharding.permute(np.arange(n), n, 99).tolist() == [_plain_permute(i, n, 99) for i in range(n)]
+
+
+def test_shards_match_a_plain_network(spark):
+    rows = [(7, "b"), (None, "x"), (3, None), (3, ""), (3, "a"), (7, "b"), (9, "Ünï")] + [(100 + i, "t" * i) for i in range(60)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, shard string").repartition(4)
+    order = sorted(
+        ((d is not None, d or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1, d) for d, t in rows)
+    )
+    want = []
+    for number, (*_, crc, size, doc_id) in enumerate(order):
+        at = _plain_permute(number, len(rows), sharding.SEED)
+        want.append((doc_id, size, crc, at % 16, at // 16))
+    got = [(r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in sharding.shard(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def _planted():
+    """Documents by number of a sentence, with planted copies, shared passages, leaks, nulls and repeats."""
+    rng = np.random.default_rng(11)
+    words = "river mill letter captain sea old quiet paper window garden stone bread house road night morning".split()
+    some = lambda n: " ".join(f"{w}{rng.integers(90)}" for w in rng.choice(words, n))
+    passage, leak = some(30), some(14)
+    good = [(i, some(60 + i)) for i in range(40)]
+    good += [(100, good[3][1]), (101, good[4][1] + " more"), (None, good[5][1])]
+    good += [(110, f"{some(20)} {passage} {some(20)}"), (111, f"{some(25)} {passage} {some(9)}"), (112, f"{some(20)} {leak} {some(20)}")]
+    good += [(120, some(30)), (120, some(31)), (121, some(30)), (None, some(33))]
+    bad = [(200 + i, " ".join(f"%%{rng.integers(9)}$$ BUY!! #{rng.integers(9)}" for _ in range(20))) for i in range(40)]
+    odd = [(300, None), (301, "")]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in good + bad + odd]
+    labels = [(i, 1, 0) for i, _ in good if i is not None and i < 40] + [(i, 0, 0) for i, _ in bad]
+    return rows + [rows[7]], labels, [(1, leak), (2, None)]
+
+
+def _without_repeats(rows):
+    """What is left of each text's bytes after strings that start in a row with a smaller id."""
+    raw = [((i is not None, i or 0), (t or "").encode()) for i, t in rows]
+    out = []
+    for own, text in raw:
+        smaller = {other[a : a + 50] for key, other in raw if key < own for a in range(len(other) - 49)}
+        gone = {a + j for a in range(len(text) - 49) if text[a : a + 50] in smaller for j in range(50)}
+        out.append(bytes(b for a, b in enumerate(text) if a not in gone).decode())
+    return out
+
+
+def test_pipeline_matches_brute_force_stage_by_stage(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as pipeline
+
+    rows, labels, items = _planted()
+    sf_dir = str(tmp_path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), {}
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        held[name] = [tuple(r) for r in docs.collect()]
+        docs = spark.createDataFrame(held[name], docs.schema)
+    texts = {name: [(r[0], r[1]) for r in held[name]] for name in ("quality", "near_copies", "repeats", "decontamination")}
+
+    # quality: junk goes, everything else stays as it was, repeats included
+    given = Counter(map(repr, rows))
+    judged = Counter(map(repr, held["quality"]))
+    assert judged <= given
+    assert [r for r in rows if not (200 <= (r[0] or 0) < 300) and r[1] and judged[repr(r)] != given[repr(r)]] == []
+    assert not [i for i, _ in texts["quality"] if i is not None and 200 <= i < 300]
+
+    # near copies: of each group the smallest id, others untouched
+    sets = [(i, t, _shingles(t)) for i, t in texts["quality"]]
+    label = list(range(len(sets)))
+    for _ in sets:
+        for x, (_, _, a) in enumerate(sets):
+            for y, (_, _, b) in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                    label[x] = label[y] = min(label[x], label[y])
+    groups = defaultdict(list)
+    for at, (i, t, s) in zip(label, sets, strict=True):
+        groups[at if s else (at, len(groups))].append((i is None, i or 0, t))
+    want = sorted((None if none else i, t) for none, i, t in (min(g, key=lambda r: r[:2]) for g in groups.values()) if not none)
+    assert sorted(r for r in texts["near_copies"] if r[0] is not None) == want
+
+    # repeats: bytes that a smaller id has are cut, texts of which nothing is left go
+    left = [(i, t) for (i, was), t in zip(texts["near_copies"], _without_repeats(texts["near_copies"]), strict=True) if t or not was]
+    assert Counter(texts["repeats"]) == Counter((i, t) for i, t in left)
+    assert {r[4] for r in held["repeats"]} == {len(r[1]) for r in held["repeats"]}
+
+    # decontamination: documents with a window of an item go
+    assert Counter(texts["decontamination"]) == Counter((i, t) for i, t in texts["repeats"] if _leaks(t, items)[1] == 0)
+    assert 112 not in {i for i, _ in texts["decontamination"]} and 111 in {i for i, _ in texts["decontamination"]}
+
+    # packing, and the whole run: each document's ids, once
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    for got in (held["packing"], [tuple(r) for r in pipeline.run(spark, sf_dir).collect()]):
+        pieces = Counter()
+        for doc_id, _, length, _, total, *_ in got:
+            pieces[doc_id, total] += length
+        want_ids = Counter()
+        for i, t in texts["decontamination"]:
+            n = len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+            want_ids[i, n] += n
+        assert pieces == want_ids
+
+
+def test_stages_of_the_pipeline_take_empty_tables_and_clashing_names(spark):
+    import corpus_pipeline as pipeline
+
+    sf_dir = "/root/testdata/sf0.001"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, key string, score string, stays string"
+    some = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(80)), None, None, None, "x", "y", "z"), (None, None, None, None, None, None, None, None)], schema)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, some.limit(0), sf_dir).count() == 0, name
+        out = stage(spark, some, sf_dir)
+        assert out.count() >= (0 if name == "quality" else 2), name
+        if name != "packing":
+            assert out.columns == pipeline.COLUMNS
+    assert re.fullmatch(r"\w+", name)

@@ -398,4 +398,4 @@ def test_near_copies_go_by_group_not_by_id(spark):
 
 
 def test_queries_name_their_operators():
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 14))
