@@ -39,7 +39,7 @@ WINDOW = 50
 PART_BYTES = 2 << 20  # bytes of text for each part of the prints
 CHUNK_BYTES = 8 << 20  # bytes of text packed together by a worker
 PLACES_AT_ONCE = 20_000
-HOT = 2_000  # occurrences from which an anchor is hot; more where a table has more than as many MB
+HOT = 50_000  # occurrences from which an anchor is hot: about 5 MB of contexts in one part
 SAMPLED = 8  # one row in so many is counted for that
 SALTS = 16
 NO_ID = -(2**63)  # stands for a null id: smaller than all others
@@ -380,7 +380,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFr
     parts = max(tasks, -(-total // PART_BYTES))
 
     some = rows.where(F.pmod("rid", F.lit(SAMPLED)) == 0)
-    prints = _hot_prints(some, max(hot, total >> 20) // SAMPLED, window)
+    prints = _hot_prints(some, max(hot // SAMPLED, 1), window)
 
     entries = _entries(rows, parts, window, prints).repartition(parts, "part").groupBy("part")
     places = stored(entries.applyInPandas(_repeated, "rid bigint, places binary"), "anchor-places")
