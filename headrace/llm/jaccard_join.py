@@ -250,7 +250,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     links = _linked(first, docs, base, words, percent)
     labels = stored(components(links), "labels")
 
-    known = index.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+    known = index.join(small_side(labels.withColumnRenamed("node", "set_id"), 48), "set_id", "left").withColumn(
         "label", F.coalesce("label", "set_id")
     )
     known = stored(known, "labelled-index")
