@@ -125,6 +125,7 @@ def quality(docs: DataFrame, fit_docs: DataFrame, labels: DataFrame, per_class:
     Texts alone decide: equal texts have equal scores. Null and empty texts are scored as empty.
     Without labels of both classes every document gets the score of the only class, and 1 without
     any. Repeated rows and further columns are kept; an empty table stays empty.
+    Columns of these two names are replaced.
     """
     model = fit(*sample(fit_docs, labels, "quality", per_class))
     out = scored(docs, lambda: model)

@@ -47,7 +47,7 @@ def op1_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark, sf_dir: str, classify, folds: int, held_out: int) -> DataFrame:
-    """Fit on the labels outside one fold, score every document."""
+    """Fit on the labels outside one fold, score every document; a null doc_id is in no fold (null)."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     known = labels.where(fold(F.col("doc_id"), folds) != held_out)
     narrow = docs.select("doc_id", "text")

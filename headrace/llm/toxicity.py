@@ -156,6 +156,7 @@ def toxicity(docs: DataFrame, fit_docs: DataFrame, labels: DataFrame, per_class:
     Texts alone decide: equal texts have equal scores. Null and empty texts have no n-grams and get
     the score of the bias. Without labels of both classes every document gets the same score, high
     only if all labels are 1. Repeated rows and further columns are kept; an empty table stays empty.
+    Columns of these two names are replaced.
     """
     model = fit(*sample(fit_docs, labels, "toxic", per_class))
     weights, bias = model.weights, model.bias
