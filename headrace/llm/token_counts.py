@@ -5,8 +5,9 @@ SHA-256 of the tokenizer's file, and the count. Texts whose pair is stored are o
 each missing text one row is encoded, however many copies there are, and appended. Normalising
 turns null into the empty text and nothing else, so equal digests mean equal counts.
 
-Copies meet as digests, summed on the map side first; a text is shuffled at most once, under a key
-that includes its row's id, so a hot text does not gather in one task. The last join is by digest
+Copies meet as digests, merged on the map side first. Missing digests are stored by themselves: are they few,
+texts are filtered by them where they are read, and if not, each task sends one row of a text it holds, so a hot
+text does not gather in one task. Either way a text is shuffled at most once. The last join is by digest
 alone over narrow rows; nothing stands between it and its exchanges, so skewed ones are split.
 """
 
@@ -19,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headrace.llm.common import small_side, stored
 from headrace.llm.word_ids import WordIds
 
 LIMIT = 4096
@@ -74,10 +76,8 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, limit: int =
 
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache_path)
     cache = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
-    missing = (
-        keyed.groupBy("digest")
-        .agg(F.min("doc_id").alias("chosen"))
-        .join(cache.select("digest"), "digest", "left_anti")
+    missing = stored(
+        keyed.select("digest").distinct().join(cache.select("digest"), "digest", "left_anti"), "missing-digests"
     )
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,16 +87,14 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, limit: int =
                 part = batch.iloc[at : at + TEXTS_AT_ONCE]
                 yield pd.DataFrame({"digest": part["digest"], "n_tokens": counter.counts(list(part["text"]))})
 
-    chosen = keyed.join(
-        missing.withColumnRenamed("digest", "wanted"),
-        (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("chosen")),
-    ).select("digest", "text")
-    counted = chosen.mapInPandas(encoded, "digest string, n_tokens bigint").dropDuplicates(["digest"])
+    # equal digests are equal texts; min() is deterministic, so a filter by few digests goes below the grouping
+    chosen = keyed.groupBy("digest").agg(F.min("text").alias("text")).join(small_side(missing, 128), "digest", "left_semi")
+    counted = chosen.mapInPandas(encoded, "digest string, n_tokens bigint")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
 
-    stored = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
+    known = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer") == version)
     return (
         keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-        .join(stored.select("digest", "n_tokens"), "digest")
+        .join(known.select("digest", "n_tokens"), "digest")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )

@@ -316,6 +316,20 @@ def test_counts_come_from_the_cache_the_second_time(spark, edge, place):
     assert count_tokens(edge.limit(0), path, place("cache")).count() == 0
 
 
+def test_each_missing_text_is_encoded_once(spark, place):
+    """A third of the rows are copies of one text, under one id, under none and under ids of their own."""
+    path, cache = tokenizer_path("piece_bpe_32k.model"), place("cache")
+    rows = [(None, "same text")] * 300 + [(7, "same text")] * 300 + [(i, "same text") for i in range(100)]
+    rows += [(7, f"text {i % 70}") for i in range(1400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for known in (0, 71):
+        before = spark.read.parquet(cache).count() if known else 0
+        assert before == known and count_tokens(df, path, cache).count() == len(rows)
+        assert spark.read.parquet(cache).count() == 71, "one row is appended for each text that was encoded"
+    more = df.unionByName(spark.createDataFrame([(1, "new")] * 50, df.schema))
+    assert count_tokens(more, path, cache).count() == len(rows) + 50 and spark.read.parquet(cache).count() == 72
+
+
 def test_top_k_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [(i, [float(i % 7) - 3, 0.5, -0.25 * i]) for i in range(60)]
