@@ -31,9 +31,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, bytes_per_row: int) -> DataFrame:
-    """Ask for a broadcast of a *stored* table only if its counted rows stay under the bound."""
-    return F.broadcast(df) if df.count() * bytes_per_row <= BROADCAST_BYTES else df
+def small_side(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """Ask for a broadcast of a *stored* table only if its rows' bytes stay under the bound.
+
+    Rows of one width are counted; for rows that hold lists or texts the width is an expression, summed.
+    """
+    size = df.count() * row_bytes if isinstance(row_bytes, int) else df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:

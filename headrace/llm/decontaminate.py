@@ -148,7 +148,8 @@ def decontaminate(
         counts.alias("a").join(listed.alias("b"), same(counts, listed), "left").select("a.*", "b.items"),
         "hit-documents",
     )
-    small = small_side(per_doc, 256)
+    item_bytes = F.aggregate("items", F.lit(0), lambda n, item: n + F.octet_length(item) + 24)
+    small = small_side(per_doc, F.lit(128) + F.coalesce(item_bytes, F.lit(0)))
     n_words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), BREAKS_ANY_CASE), ""))
     return docs.join(small, same(docs, small), "left").select(
         docs["doc_id"],
@@ -162,7 +163,7 @@ def decontaminate(
 
 def _extended(docs, found, windows, window: int, k: int, short: list[int]) -> DataFrame:
     """(doc_id, _key, start, size, span) of benchmark windows that occur, starts counted from 1."""
-    side = small_side(found, 128)
+    side = small_side(found, F.lit(128) + 8 * F.size("prints"))
     matching = (
         docs.join(side, docs["doc_id"].eqNullSafe(side["doc_id"]) & (docs["_key"] == side["_key"]))
         .select(docs["doc_id"], docs["_key"], "text", "prints")
@@ -191,4 +192,4 @@ def _extended(docs, found, windows, window: int, k: int, short: list[int]) -> Da
     spans = F.concat(spans_at(whole, window), *[spans_at(matched(m), m) for m in short])
     candidates = matching.select("doc_id", "_key", F.explode(spans).alias("s")).select("doc_id", "_key", "s.*")
     known = stored(windows.select("span", "size").distinct(), "known-windows")
-    return candidates.join(small_side(known, 128), ["span", "size"], "left_semi")
+    return candidates.join(small_side(known, F.lit(64) + F.octet_length("span")), ["span", "size"], "left_semi")
