@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headrace.llm.common import small_side, stored, text_key
@@ -111,25 +111,34 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Index entries (token, set_id, size, pos) of all sets; ``frequent`` is ordered rarest first."""
+    """Index entries (token, set_id, size, pos, common) of all sets; ``frequent`` is ordered rarest first.
+
+    A task gives each set once, however many copies it reads. ``common`` tokens are those of ``frequent``.
+    """
     known = np.sort(frequent)
     rank = np.argsort(frequent, kind="stable")  # of known[i], its place in ``frequent``
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
-            tokens, ids, sizes, places = [], [], [], []
+            tokens, ids, sizes, places, common = [], [], [], [], []
             texts = list(batch["text"])
             for s in (s for at in range(0, len(texts), 256) for s in shingle_sets(texts[at : at + 256], words)):
-                if not len(s):
+                own = set_print(s) if len(s) else None
+                if own is None or own in seen:
                     continue
+                seen.add(own)
+                late = np.zeros(len(s), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                     late = np.where(known[at] == s, rank[at] + 1, 0)
                     if late.any():
-                        s = s[np.lexsort((s, late))]
+                        order = np.lexsort((s, late))
+                        s, late = s[order], late[order]
                 n = prefix_length(len(s), percent)
                 tokens.append(s[:n])
-                ids.append(np.full(n, set_print(s), np.int64))
+                common.append(late[:n] > 0)
+                ids.append(np.full(n, own, np.int64))
                 sizes.append(np.full(n, len(s), np.int32))
                 places.append(np.arange(n, dtype=np.int32))
             if tokens:
@@ -139,10 +148,11 @@ def _postings(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -
                         "set_id": np.concatenate(ids),
                         "size": np.concatenate(sizes),
                         "pos": np.concatenate(places),
+                        "common": np.concatenate(common),
                     }
                 )
 
-    return docs.select("text").mapInPandas(read, "token bigint, set_id bigint, size int, pos int")
+    return docs.select("text").mapInPandas(read, "token bigint, set_id bigint, size int, pos int, common boolean")
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
@@ -228,10 +238,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     frequent = np.array([r["token"] for r in reversed(top)], np.int64).view(np.uint64)
     width = math.log(100 / (percent - 1))
     index = stored(_postings(docs, frequent, words, percent), "index")
-    lists = index.groupBy("token").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most")
+    # Lists of one set link nothing. Common shingles are in several sets, as they were counted there; any other
+    # list is short against the table, as the frequent ones are among the common, so it may meet in one task.
+    alone = Window.partitionBy("token")
+    rare = index.where("not common").drop("common").select("*", F.min("set_id").over(alone).alias("least"), F.max("set_id").over(alone).alias("most"))
     index = (
-        index.join(stored(lists.select("token"), "shared-shingles"), "token")
+        rare.where("least < most")
+        .drop("least", "most")
         .distinct()
+        .unionByName(index.where("common").drop("common").distinct())
         .withColumn("class", F.floor(F.log(F.col("size")) / width).cast("int"))
         .withColumn("band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int"))
     )
