@@ -347,6 +347,26 @@ def test_top_k_of_odd_vectors(spark):
     assert top_k(df.limit(0), queries, "vec_id", "embedding").count() == 0
 
 
+def test_top_k_counts_every_row(spark, place, monkeypatch):
+    """Rows that come twice, one id with two vectors and rows without an id, over several shards and blocks."""
+    vectors = [(i, [float(i % 5) / 4, float(i % 3) - 1]) for i in range(90)]
+    vectors += vectors[:45:3] + [(20, [9.0, 0.5]), (41, [1.0, 1.0]), (None, [1.0, 1.0]), (None, [1.0, 1.0]), (60, None)]
+    at = place()
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    df.write.parquet(f"{at}/embeddings.parquet")
+    ints = [(v, [int(64 * x // 1) for x in e]) for v, e in vectors if e]
+    want = []
+    for i, (q, a) in enumerate(ints):
+        if q is not None and q % 20 == 0:
+            scores = [(-sum(x * y for x, y in zip(a, b, strict=True)), v is not None, v or 0) for j, (v, b) in enumerate(ints) if j != i]
+            want += [(q, r, v if known else None, -s) for r, (s, known, v) in enumerate(sorted(scores)[:20], 1)]
+    for rows in (4096, 16):
+        monkeypatch.setattr("headrace.llm.topk.SHARD_ROWS", rows)
+        monkeypatch.setattr("headrace.llm.topk.BLOCK_ROWS", rows // 8)
+        got = [tuple(r) for r in QUERIES["op7_topk"](spark, at).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 16, 17, 1000, 4097])
 def test_permutation_and_its_inverse(n):
     numbers = np.arange(n)
