@@ -10,6 +10,7 @@ amount once per word they meet and then look it up; all words of all texts count
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +32,7 @@ RATE = 0.03
 SCALE = 100.0  # logits per unit of the mean: a few words in a hundred decide
 DECAY = 1e-4
 WORDS_KEPT = 400_000
+WORDS_AT_ONCE = 8192  # of the sample's words, whose n-grams are found together
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,24 +99,27 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> Subwords:
         at, n = int(draw.integers(0, len(words))), int(draw.integers(1, 40))
         split.append(words[at : at + n])
     labels = np.append(labels, np.zeros(len(split) - len(labels), np.int64))
-    buckets, owners = grams(list(vocabulary))
-    buckets, ends = (
-        buckets[np.argsort(owners, kind="stable")].astype(np.int32),
-        np.cumsum(np.bincount(owners, minlength=len(vocabulary))),
-    )
-    del owners, vocabulary
-    cols, shares = [], []
+    # the matrix outgrows the sample many times: its arrays grow in place, with buckets of two bytes
+    buckets, lengths, distinct = array("H"), [np.zeros(0, np.int64)], list(vocabulary)
+    for i in range(0, len(distinct), WORDS_AT_ONCE):
+        some = distinct[i : i + WORDS_AT_ONCE]
+        found, owners = grams(some)
+        buckets.frombytes(found[np.argsort(owners, kind="stable")].astype(np.uint16).tobytes())
+        lengths.append(np.bincount(owners, minlength=len(some)))
+    buckets, ends = np.frombuffer(buckets, np.uint16), np.cumsum(np.concatenate(lengths))
+    del distinct, vocabulary
+    cols, shares, sizes = array("H"), array("f"), [0]
     for words in split:
         ids, times = np.unique(words, return_counts=True)
         lengths = ends[ids] - np.where(ids > 0, ends[ids - 1], 0)
         at = np.repeat(ends[ids] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
         counts = np.bincount(buckets[at], np.repeat(times, lengths), BUCKETS)
         held = np.flatnonzero(counts)
-        cols.append(held.astype(np.int32))
-        shares.append((counts[held] / max(counts.sum(), 1)).astype(np.float32))
-    first = np.append(0, np.cumsum([len(c) for c in cols]))
-    cols = np.concatenate(cols)
-    shares = np.concatenate(shares)
+        cols.frombytes(held.astype(np.uint16).tobytes())
+        shares.frombytes((counts[held] / max(counts.sum(), 1)).astype(np.float32).tobytes())
+        sizes.append(len(held))
+    first = np.cumsum(sizes)
+    cols, shares = np.frombuffer(cols, np.uint16), np.frombuffer(shares, np.float32)
 
     vectors, layer = draw.normal(0, 0.05, (BUCKETS, WIDTH)), draw.normal(0, 0.3, (WIDTH, 2))
     bias = np.array([CLEAN_BIAS, -CLEAN_BIAS])

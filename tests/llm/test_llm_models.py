@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -41,6 +43,19 @@ def test_toxicity_knows_unseen_spellings():
     assert (model([" ".join(rng.choice(plain, 40)) for _ in range(50)]) < toxicity.CUT).mean() > 0.9
 
 
+def test_fitting_toxicity_takes_little_beyond_the_sample(monkeypatch):
+    """The n-grams of 1,500 texts of 200 words: 145 MB at most, 170 MB with four bytes a bucket and lists that are copied."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    rng = np.random.default_rng(5)
+    words = np.array([f"{a:x}w{b:x}" for a, b in rng.integers(0, 2**31, (3000, 2))])
+    texts = [" ".join(words[rng.integers(0, 3000, 200)]) for _ in range(1500)]
+    tracemalloc.start()
+    toxicity.fit(texts, np.arange(1500) % 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 157e6
+
+
 def test_samples_keep_to_their_fold_and_bound(spark):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(100)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(None, 1), (5, None)], "doc_id long, quality int")
