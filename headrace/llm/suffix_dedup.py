@@ -19,7 +19,8 @@ the smallest and the largest id of each context, then of each window, on the map
 with their chunk, to which what their contexts were found to repeat is joined, so no task holds all
 places of an anchor. Either way gives the same windows: hotness only decides how they meet.
 
-Parts are as many as the bytes ask for. Texts are shuffled once, by row; both joins use it.
+Parts are as many as the bytes ask for; a task takes several, one after the other, and writes one file for
+all of them. Texts are shuffled once, by row; both joins use it.
 """
 
 from __future__ import annotations
@@ -382,12 +383,12 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFr
     some = rows.where(F.pmod("rid", F.lit(SAMPLED)) == 0)
     prints = _hot_prints(some, max(hot // SAMPLED, 1), window)
 
-    entries = _entries(rows, parts, window, prints).repartition(parts, "part").groupBy("part")
+    entries = _entries(rows, parts, window, prints).repartition(tasks, "part").groupBy("part")
     places = stored(entries.applyInPandas(_repeated, "rid bigint, places binary"), "anchor-places")
     places = places.groupBy("rid").agg(F.collect_set("places").alias("places"))
 
     by_row = rows.repartition(tasks, "rid")
-    contexts = _contexts(by_row.join(places, "rid", "left"), parts, window).repartition(parts, "part")
+    contexts = _contexts(by_row.join(places, "rid", "left"), parts, window).repartition(tasks, "part")
     runs = contexts.groupBy("part").applyInPandas(lambda part: _marked(part, window), "rid bigint, runs binary")
     if len(prints):
         runs = runs.unionByName(_hot_runs(rows, prints, window))
