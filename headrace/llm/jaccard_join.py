@@ -242,30 +242,36 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     # list is short against the table, as the frequent ones are among the common, so it may meet in one task.
     alone = Window.partitionBy("token")
     rare = index.where("not common").drop("common").select("*", F.min("set_id").over(alone).alias("least"), F.max("set_id").over(alone).alias("most"))
-    index = (
-        rare.where("least < most")
-        .drop("least", "most")
-        .distinct()
-        .unionByName(index.where("common").drop("common").distinct())
-        .withColumn("class", F.floor(F.log(F.col("size")) / width).cast("int"))
-        .withColumn("band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int"))
-    )
-    index = stored(index, "shared-index")
+
+    def blocks(entries: DataFrame) -> DataFrame:
+        return entries.withColumn("class", F.floor(F.log(F.col("size")) / width).cast("int")).withColumn(
+            "band", (F.col("pos") * BANDS / (F.col("size") * (1 - percent / 100) + 1)).cast("int")
+        )
+
+    # the set that has least before the shingle: of similar sets, the one nearest to what they share
+    leader = F.min(F.struct("pos", "set_id", "size"))
+    rare = blocks(rare.where("least < most").drop("least", "most").distinct())  # these lie by token already
+    rare = rare.withColumn("leader", leader.over(Window.partitionBy("token", "class")))
+    common = blocks(index.where("common").drop("common").distinct())
+    index = stored(rare.unionByName(common, allowMissingColumns=True), "shared-index")
 
     needed = _needed(percent)
     fits = f"x.size - x.pos >= {needed} and y.size - y.pos >= {needed}"
-    # the set that has least before the shingle: of similar sets, the one nearest to what they share
-    leaders = index.groupBy("token", "class").agg(F.min(F.struct("pos", "set_id", "size")).alias("y"))
+    led = index.where("leader is not null").select(F.struct("set_id", "size", "pos").alias("x"), F.col("leader").alias("y"))
+    common = index.where("leader is null").drop("leader")
+    leaders = common.groupBy("token", "class").agg(leader.alias("y")).select("token", "class", "y.*")
+    pair = F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")
     first = (
-        index.alias("x")
-        .join(leaders.select("token", "class", "y.*").alias("y"), F.expr("x.token = y.token and x.class = y.class and y.set_id <> x.set_id and " + fits))
-        .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
+        common.alias("x")
+        .join(leaders.alias("y"), F.expr("x.token = y.token and x.class = y.class and y.set_id <> x.set_id and " + fits))
+        .select(*pair)
+        .unionByName(led.where("y.set_id <> x.set_id and " + fits).select(*pair))
         .distinct()
     )
     links = _linked(first, docs, base, words, percent)
     labels = stored(components(links), "labels")
 
-    known = index.join(small_side(labels.withColumnRenamed("node", "set_id"), 48), "set_id", "left").withColumn(
+    known = index.drop("leader").join(small_side(labels.withColumnRenamed("node", "set_id"), 48), "set_id", "left").withColumn(
         "label", F.coalesce("label", "set_id")
     )
     known = stored(known, "labelled-index")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from headrace.llm import jaccard_join, sharding
+from headrace.llm import jaccard_join, sharding, suffix_dedup
 from headrace.llm.anchors import anchors
 from headrace.llm.common import table
 from headrace.llm.components import components
@@ -230,6 +230,27 @@ def test_hot_anchors_are_no_part_of_the_sort(spark, monkeypatch):
     assert text_of == {(d, *v) for (d, _), v in want.items()}
 
 
+def test_tasks_take_several_parts(spark, monkeypatch):
+    """With many more parts than tasks, what a step writes is one file for each task, not for each part."""
+    monkeypatch.setattr("headrace.llm.suffix_dedup.PART_BYTES", 64)
+    read, paths = suffix_dedup.stored, []
+
+    def kept(df, purpose):
+        out = read(df, purpose)
+        paths.append((purpose, out.inputFiles()))
+        return out
+
+    monkeypatch.setattr("headrace.llm.suffix_dedup.stored", kept)
+    rng = np.random.default_rng(4)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 26, 300)) for _ in range(40)]
+    rows = [(i, texts[i % 40][i // 40 * 9 :]) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in deduplicate(df).collect()}
+    assert got == {d: gone for (d, _), (_, gone, *_) in _removed(rows).items()} and sum(got.values()) > 10_000
+    files = dict(paths)["anchor-places"]
+    assert 0 < len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_cut_lengths():
     assert cut_lengths(4096 * 2 + 37, 4096) == [4096, 4096, 32, 4, 1]
 
