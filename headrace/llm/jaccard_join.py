@@ -275,13 +275,20 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         "label", F.coalesce("label", "set_id")
     )
     known = stored(known, "labelled-index")
-    by_label = known.groupBy("token", "label").agg(F.count("*").alias("n"))
+    ends = {"low_class": F.min, "high_class": F.max, "low_band": F.min, "high_band": F.max}
+    by_label = known.groupBy("token", "label").agg(
+        F.count("*").alias("n"), *(end(name.partition("_")[2]).alias(name) for name, end in ends.items())
+    )
     mixed_lists = (
         by_label.groupBy("token")
-        .agg(F.count("*").alias("labels"), F.max(F.struct("n", "label"))["label"].alias("main"))
+        .agg(
+            F.count("*").alias("labels"),
+            F.max(F.struct("n", "label"))["label"].alias("main"),
+            *(end(name).alias(name) for name, end in ends.items()),
+        )
         .where("labels > 1")
     )
-    some = stored(known.join(mixed_lists.select("token", "main"), "token"), "mixed-lists")
+    some = stored(known.join(mixed_lists.drop("labels"), "token"), "mixed-lists")
     # the farthest position of a partner of class c: its size less the overlap that is needed
     largest = F.exp((F.col("block.class") + 1) * width)
     least = F.exp(F.col("block.class") * width)
@@ -298,6 +305,8 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
             ),
         )
         .where(F.col("block.band") <= F.floor(F.greatest(room, F.lit(0.0)) * BANDS) + 1)
+        # a list has no blocks beyond its smallest and largest class and band
+        .where("block.class between low_class and high_class and block.band between low_band and high_band")
         .select("token", "block.*", "set_id", "size", "pos", "label")
     )
     second = (
